@@ -64,10 +64,10 @@ def long_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         "week_key",
         "column_id",
         F.col("column").alias("value_column"),
-        F.posexplode("points").alias("pos", "p"),
+        F.posexplode(F.arrays_zip(F.col("times").alias("ts"), F.col("values").alias("v"))).alias("pos", "p"),
     )
     return tidy(
-        points.select("instrument", "week_key", "column_id", "value_column", "pos", "p.ts", "p.v")
+        points.select("instrument", "week_key", "column_id", "value_column", "pos", "p.*")
     )
 
 

@@ -20,7 +20,7 @@ from tickloom.operators.baseline import fit_changes
 from tickloom.operators.evaluate import weighted_quantile_loss
 from tickloom.operators.forecasts import context_split, forecast_frame, parse_responses, request_payloads
 from tickloom.operators.scoring import batch_score, last_value_scorer
-from tickloom.plans.forecasting import baseline_forecasts, holdout_requests, training_windows
+from tickloom.plans.forecasting import baseline_forecasts, compare_forecasts, holdout_requests, training_windows
 from tickloom.session import new_folder
 from tickloom.sinks.write import write_predictions
 
@@ -90,7 +90,7 @@ def _lines(predictions: DataFrame) -> DataFrame:
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions written and read back."""
     folder = new_folder(spark, "predictions")
-    write_predictions(_scored(spark, sf_dir), folder, ["request_id"])
+    write_predictions(_scored(spark, sf_dir), folder)
     return _lines(spark.read.schema(SCORED).json(folder))
 
 
@@ -125,14 +125,22 @@ def fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests scored in place."""
     made = baseline_forecasts(line_bars(spark, sf_dir), LINE_CONFIG, CONTEXT_LEN, QUANTILES)
-    frame = forecast_frame(requests(spark, sf_dir), made)
-    return tidy(frame).withColumn("value", F.round("value", 4))
+    return tidy(forecast_frame(made)).withColumn("value", F.round("value", 4))
+
+
+def stored_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests beside predictions that were written earlier."""
+    folder = new_folder(spark, "predictions")
+    write_predictions(_scored(spark, sf_dir), folder)
+    stored = spark.read.schema(SCORED).json(folder)
+    return tidy(compare_forecasts(requests(spark, sf_dir), stored, CONTEXT_LEN))
 
 
 def loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = baseline_forecasts(line_bars(spark, sf_dir), LINE_CONFIG, CONTEXT_LEN, QUANTILES)
-    found = weighted_quantile_loss(requests(spark, sf_dir), made)
+    found = weighted_quantile_loss(made)
     return found.withColumn("wql", F.round("wql", 6)).withColumn("mean_wql", F.round("mean_wql", 6))
 
 
@@ -145,6 +153,7 @@ QUERIES = {
     "baseline_fit": fitted,
     "baseline_quantiles": baseline,
     "forecast_frame": comparison,
+    "forecast_frame_stored": stored_comparison,
     "wql": loss,
 }
 
@@ -216,6 +225,12 @@ ORACLES = {
         UNION ALL
         SELECT request_id, 'actual', pos, round(delta, 4) FROM req
         WHERE request_id IN (SELECT request_id FROM pred)""",
+    "forecast_frame_stored": f"""
+        {REQUESTS}
+        SELECT request_id, quantile || ' quantile' AS series, step - 1 + {CONTEXT_LEN} AS position,
+            delta AS value
+        FROM last CROSS JOIN steps CROSS JOIN (VALUES {_QS}) q(quantile)
+        UNION ALL SELECT request_id, 'actual', pos, delta FROM req""",
     "wql": f"""
         {REQUESTS},
         misses AS (

@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.operators.forecasts import with_predictions
+
 
 def weighted_quantile_loss(
-    requests: DataFrame, predictions: DataFrame, key: str = "request_id"
+    requests: DataFrame, predictions: DataFrame | None = None, key: str = "request_id"
 ) -> DataFrame:
     """One row per quantile with its loss, and the mean over quantiles beside it.
 
     The loss of quantile t is 2 * sum(t * max(z - q, 0) + (1 - t) * max(q - z, 0)) / sum(|z|) over
     all predicted steps, z being what happened and q what was predicted.
     """
-    lined = requests.select(
-        key, F.slice("actual", F.size("context") + 1, F.size("actual")).alias("_z")
-    ).join(predictions.select(key, "quantiles"), key)
-    by_quantile = lined.select("_z", F.explode("quantiles").alias("quantile", "_q"))
+    lined = with_predictions(requests, predictions, key)
+    ahead = F.slice("actual", F.col("context_len") + 1, F.size("actual"))
+    by_quantile = lined.select(
+        ahead.alias("_z"), F.explode("quantiles").alias("quantile", "_q")
+    )
     steps = by_quantile.select("quantile", F.inline(F.arrays_zip("_z", "_q"))).where(
         F.col("_z").isNotNull() & F.col("_q").isNotNull()
     )

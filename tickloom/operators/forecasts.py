@@ -71,20 +71,35 @@ def parse_responses(responses: DataFrame, key: str = "request_id") -> DataFrame:
     )
 
 
-def forecast_frame(requests: DataFrame, predictions: DataFrame, key: str = "request_id") -> DataFrame:
-    """JOI1, GEN5, MAP1, ARR5, STR8: one row per request, line and step.
+def with_predictions(
+    requests: DataFrame, predictions: DataFrame | None, key: str = "request_id"
+) -> DataFrame:
+    """JOI1: key, context length, actual course and quantiles of each request, paired by key.
 
-    Columns: key, series, position, value. Lines are the quantiles, placed after the context, and
-    the actual course from position 0. The join pairs whole rows; steps are spread after it.
+    Whole rows are paired, before any step is spread out. Requests that were scored in place hold
+    their quantiles already and need no join.
     """
-    lined = requests.select(key, "actual", F.size("context").alias("_n")).join(
+    if predictions is None:
+        return requests.select(key, "actual", F.size("context").alias("context_len"), "quantiles")
+    return requests.select(key, "actual", F.size("context").alias("context_len")).join(
         predictions.select(key, "quantiles"), key
     )
+
+
+def forecast_frame(
+    requests: DataFrame, predictions: DataFrame | None = None, key: str = "request_id"
+) -> DataFrame:
+    """GEN5, MAP1, ARR5, STR8: one row per request, line and step.
+
+    Columns: key, series, position, value. Lines are the quantiles, placed after the context, and
+    the actual course from position 0.
+    """
+    lined = with_predictions(requests, predictions, key)
     quantile_lines = F.transform(
         F.map_entries("quantiles"),
         lambda e: F.struct(
             F.concat(e["key"], F.lit(" quantile")).alias("series"),
-            F.col("_n").alias("offset"),
+            F.col("context_len").alias("offset"),
             e["value"].alias("values"),
         ),
     )

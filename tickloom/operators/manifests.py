@@ -23,20 +23,15 @@ def rewrite_lines(lines: DataFrame, root: str) -> DataFrame:
     Keys this job knows nothing about, of any type, pass through as variants. Adds `source_ref`,
     which is NULL for a line that is no JSON object; such a line stays as it is.
     """
+    # The path is read on its own, so a plan that needs nothing else skips the other keys.
+    path = F.from_json("line", "`source-ref` string")["source-ref"]
     keys = F.from_json("line", "map<string,variant>")
-    moved = relocate(
-        F.try_variant_get(F.element_at("_keys", "source-ref"), "$", "string"), root
-    )
     replaced = F.map_concat(
-        F.map_filter("_keys", lambda k, _: k != "source-ref"),
+        F.map_filter(keys, lambda k, _: k != "source-ref"),
         F.create_map(F.lit("source-ref"), F.col("source_ref").cast("variant")),
     )
-    return (
-        lines.withColumn("_keys", keys)
-        .withColumn("source_ref", moved)
-        .withColumn("line", F.coalesce(F.to_json(replaced), "line"))
-        .drop("_keys")
-    )
+    moved = lines.withColumn("source_ref", relocate(path, root))
+    return moved.withColumn("line", F.coalesce(F.to_json(replaced), "line"))
 
 
 def attributes(manifest: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -96,17 +96,26 @@ def _solid(boxes: DataFrame) -> DataFrame:
     return boxes.where((F.col("width") > 0) & (F.col("height") > 0))
 
 
+def _class(size: Column) -> Column:
+    """Size class: sizes 1 to 3, 4 to 15, 16 to 63 and so on."""
+    return F.floor(bit_length(size) / 2).cast("int")
+
+
+def _widest(level: Column) -> Column:
+    """No box of the class is wider than this."""
+    return F.pow(F.lit(4.0), level + 1)
+
+
 def _cell(twice_centre: Column, level: Column) -> Column:
     """Cell along one axis; cells of a size class are as wide as its widest box."""
-    return F.floor(twice_centre / F.pow(F.lit(2.0), level + 2))
+    return F.floor(twice_centre / (2 * _widest(level)))
 
 
 def _in_cells(boxes: DataFrame) -> DataFrame:
     """Each box in the one cell of its own size class and centre."""
-    lx, ly = bit_length(F.col("width")), bit_length(F.col("height"))
     return (
-        boxes.withColumn("_lx", lx)
-        .withColumn("_ly", ly)
+        boxes.withColumn("_lx", _class(F.col("width")))
+        .withColumn("_ly", _class(F.col("height")))
         .withColumn("_cx", _cell(F.col("left") * 2 + F.col("width"), F.col("_lx")))
         .withColumn("_cy", _cell(F.col("top") * 2 + F.col("height"), F.col("_ly")))
     )
@@ -120,10 +129,10 @@ def _around_cells(boxes: DataFrame, threshold: float) -> DataFrame:
         least = F.greatest(F.floor(F.col(size) * threshold), F.lit(1))
         most = F.ceil(F.col(size) / threshold)
         both = both.withColumn(
-            level, F.explode(F.sequence(bit_length(least), bit_length(most)))
+            level, F.explode(F.sequence(_class(least), _class(most)))
         )
         # Twice the reach, as centres are doubled too; one more pixel covers rounding.
-        widest = F.greatest(F.col(size).cast("double"), F.pow(F.lit(2.0), F.col(level) + 1))
+        widest = F.greatest(F.col(size).cast("double"), _widest(F.col(level)))
         reach = F.ceil(widest * (2 * (1 - threshold))) + 2
         middle = F.col(start) * 2 + F.col(size)
         both = both.withColumn(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -62,64 +63,92 @@ def exact_split(
 ) -> DataFrame:
     """SRT4, MTH5: random split of exactly round(n * fraction) rows against the rest.
 
-    The hash value at the cut is found first, by counting buckets and then looking into the one
-    bucket that holds the cut. The rows themselves are then labelled by comparing their hash with
-    it, without any shuffle. Copies of one key that straddle the cut are told apart by their whole
-    content, and rows equal in everything are counted and written out again.
+    The hash value at the cut is found first: one pass counts the rows by hash bucket, a second
+    looks into the one bucket that holds the cut, and single rows come back to the driver. The rows
+    themselves are then labelled by comparing their hash with it, without any shuffle. Copies of
+    one key that straddle the cut are told apart by their whole content, and rows equal in
+    everything are counted and written out again.
     """
-    first, rest = labels
-    total = df.count()
-    need = round(total * fraction)
-    return _cut(df, row_hash(seed, *[F.col(k) for k in keys]), need, seed, first, rest, column)
+    order = row_hash(seed, *[F.col(k) for k in keys])
+    edge = _find_edge(df.select(order.alias("_h")), lambda total: round(total * fraction))
+    return _cut(df, order, edge, _Sides(seed, *labels, column))
+
+
+@dataclass(frozen=True)
+class _Sides:
+    seed: int
+    first: str
+    rest: str
+    column: str
+
+    def by(self, belongs: Column) -> Column:
+        return F.when(belongs, self.first).otherwise(self.rest)
+
+
+@dataclass(frozen=True)
+class _Edge:
+    """Hash prefix the cut falls on, the rows that have it, and how many of them come first."""
+
+    prefix: str
+    size: int
+    taken: int
 
 
 def _cut(
-    df: DataFrame,
-    order: Column,
-    need: int,
-    seed: int,
-    first: str,
-    rest: str,
-    column: str,
-    last_level: bool = False,
+    df: DataFrame, order: Column, edge: _Edge | None, sides: _Sides, by_content: bool = False
 ) -> DataFrame:
-    if need <= 0:
-        return df.withColumn(column, F.lit(rest))
-    edge, size, taken = _find_edge(df.select(order.alias("_h")), need)
-    head = F.substring(order, 1, len(edge))
-    if taken == size:
-        return df.withColumn(column, F.when(head <= edge, first).otherwise(rest))
-    clear = df.where(head != edge).withColumn(column, F.when(head < edge, first).otherwise(rest))
-    tied = df.where(head == edge)
-    if last_level:
-        return clear.unionByName(_share_copies(tied, taken, first, rest, column))
-    by_content = F.md5(F.concat_ws(":", F.lit(str(seed)), F.to_json(F.struct("*"))))
-    return clear.unionByName(_cut(tied, by_content, taken, seed, first, rest, column, True))
-
-
-def _find_edge(hashes: DataFrame, need: int) -> tuple[str, int, int]:
-    """Hash prefix that holds row number `need`, its rows, and how many of them still belong.
-
-    Each level counts at most 65,536 buckets and brings one row back. It stops at the first prefix
-    whose rows all belong to the same side, which for unique keys is after two or three levels.
+    if edge is None:
+        return df.withColumn(sides.column, F.lit(sides.rest))
+    head = F.substring(order, 1, len(edge.prefix))
+    if edge.taken == edge.size:
+        return df.withColumn(sides.column, sides.by(head <= edge.prefix))
+    clear = df.where(head != edge.prefix).withColumn(sides.column, sides.by(head < edge.prefix))
+    tied = df.where(head == edge.prefix)
+    if by_content:
+        return clear.unionByName(_share_copies(tied, edge.taken, sides))
+    content = row_hash(sides.seed, F.to_json(F.struct("*")))
+    inner = _find_edge(tied.select(content.alias("_h")), lambda _: edge.taken)
+    return clear.unionByName(_cut(tied, content, inner, sides, by_content=True))
+
+
+def _find_edge(hashes: DataFrame, needed: Callable[[int], int]) -> _Edge | None:
+    """Where the cut falls when `needed(total)` rows come first; None when no row does.
+
+    The first level counts all rows in at most 65,536 buckets. What is left of the one bucket that
+    matters, one row per distinct hash, is kept and narrowed down the same way until all rows of a
+    prefix belong to one side; for unique keys that takes two or three levels.
     """
-    edge = ""
-    while True:
-        digits = len(edge) + _DIGITS
-        counted = (
-            hashes.where(F.col("_h").startswith(edge))
-            .groupBy(F.substring("_h", 1, digits).alias("_b"))
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .withColumn("_upto", F.sum("_n").over(_up_to_here("_b")))
-        )
-        row = counted.where(F.col("_upto") >= need).orderBy("_b").first()
-        edge, size, taken = row["_b"], row["_n"], need - (row["_upto"] - row["_n"])
-        if taken == size or digits >= _HASH_LENGTH:
-            return edge, size, taken
-        need = taken
-
-
-def _share_copies(df: DataFrame, taken: int, first: str, rest: str, column: str) -> DataFrame:
+    left = hashes.select("_h", F.lit(1).cast("long").alias("_n"))
+    prefix, need, kept = "", None, None
+    try:
+        while True:
+            counted = left.groupBy(F.substring("_h", 1, len(prefix) + _DIGITS).alias("_b")).agg(
+                F.sum("_n").alias("_n")
+            )
+            running = counted.withColumn("_upto", F.sum("_n").over(_up_to_here("_b")))
+            if need is None:
+                running = running.persist()
+                need = needed(running.agg(F.max("_upto")).first()[0] or 0)
+                kept = running
+            if need <= 0:
+                return None
+            row = running.where(F.col("_upto") >= need).orderBy("_b").first()
+            prefix, taken = row["_b"], need - (row["_upto"] - row["_n"])
+            if taken == row["_n"] or len(prefix) >= _HASH_LENGTH:
+                return _Edge(prefix, row["_n"], taken)
+            need = taken
+            narrowed = left.where(F.col("_h").startswith(prefix))
+            if len(prefix) == _DIGITS:
+                kept.unpersist()
+                narrowed = narrowed.groupBy("_h").agg(F.sum("_n").alias("_n")).persist()
+                kept = narrowed
+            left = narrowed
+    finally:
+        if kept is not None:
+            kept.unpersist()
+
+
+def _share_copies(df: DataFrame, taken: int, sides: _Sides) -> DataFrame:
     """Label `taken` of a set of rows that are equal in everything.
 
     The copies are folded into one row and written out again in pieces, so neither the fold nor
@@ -137,7 +166,7 @@ def _share_copies(df: DataFrame, taken: int, first: str, rest: str, column: str)
     low = F.col("_p") * _COPIES_PER_TASK + 1
     high = F.least(low + (_COPIES_PER_TASK - 1), F.col("_n"))
     return pieces.select("_row", F.explode(F.sequence(low, high)).alias("_i")).select(
-        "_row.*", F.when(F.col("_i") <= taken, first).otherwise(rest).alias(column)
+        "_row.*", sides.by(F.col("_i") <= taken).alias(sides.column)
     )
 
 

@@ -28,15 +28,18 @@ def weekly_series(
     """AGG1-AGG3: one row per instrument and week with its points in time order.
 
     One shuffle on (instrument, week). Only `columns` travel through it. Points at the same time
-    are ordered by their values, so the result does not depend on how rows were spread.
+    are ordered by their values, so the result does not depend on how rows were spread. `present`
+    counts the values of each column, which tells series with gaps from those without.
     """
     point = F.struct("ts", *columns)
+    present = F.struct(*[F.count(c).alias(c) for c in columns])
     return (
         with_week(bars.where(F.col("ts").isNotNull()), mode)
         .groupBy("instrument", "week_key")
         .agg(
             F.min("ts").alias("ts_start"),
             F.sort_array(F.collect_list(point)).alias("points"),
+            present.alias("present"),
         )
     )
 
@@ -64,48 +67,47 @@ def series_stats(index: DataFrame) -> DataFrame:
     )
 
 
-def column_points(points: Column, column: str, nulls: str = "drop") -> Column:
-    """Points that count for one column: all, or those with a value."""
+def column_points(column: str, nulls: str = "drop") -> Column:
+    """Points that count for one column: all, or those with a value.
+
+    A series without gaps, the usual case, is passed on as it is.
+    """
+    points = F.col("points")
     if nulls == "keep":
         return points
-    return F.filter(points, lambda p: p[column].isNotNull())
-
-
-def column_values(points: Column, column: str, nulls: str = "drop") -> Column:
-    """Value list of one column in time order."""
-    return column_points(points, column, nulls).getField(column)
+    whole = F.col("present")[column] == F.size(points)
+    return F.when(whole, points).otherwise(F.filter(points, lambda p: p[column].isNotNull()))
 
 
 def features_table(
     series: DataFrame, columns: Sequence[str] = fixed.COLUMNS, nulls: str = "drop"
 ) -> DataFrame:
     """One value list per column and week, the layout SQL users query as `features`."""
-    lists = [column_values(F.col("points"), c, nulls).alias(c) for c in columns]
+    lists = [column_points(c, nulls).getField(c).alias(c) for c in columns]
     return series.select("instrument", "week_key", "ts_start", *lists)
 
 
 def long_series(
     series: DataFrame, columns: Sequence[str] = fixed.COLUMNS, nulls: str = "drop"
 ) -> DataFrame:
-    """PRJ4: one row per series and value column.
+    """PRJ4: one row per series and value column: column_id, column, times, values.
 
     Columns are spread after the shuffle, on whole series, so a bar moves once and not once per
-    column.
+    column. Other columns of the series are carried along.
     """
 
     def kind(column_id: int, column: str) -> Column:
-        points = F.transform(
-            column_points(F.col("points"), column, nulls),
-            lambda p: F.struct(p["ts"].alias("ts"), p[column].alias("v")),
-        )
+        points = column_points(column, nulls)
         return F.struct(
             F.lit(column_id).alias("column_id"),
             F.lit(column).alias("column"),
-            points.alias("points"),
+            points.getField("ts").alias("times"),
+            points.getField(column).alias("values"),
         )
 
+    carried = [c for c in series.columns if c not in ("points", "present")]
     kinds = [kind(i, c) for i, c in enumerate(columns)]
-    return series.select("instrument", "week_key", "ts_start", F.inline(F.array(*kinds)))
+    return series.select(*carried, F.inline(F.array(*kinds)))
 
 
 def first_series(series: DataFrame, limit: int) -> DataFrame:

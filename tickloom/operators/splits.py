@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.config import FeatureConfig
+from tickloom.config import FeatureConfig, FixedCutoffs
 from tickloom.functions.timekeys import day_start, minus_weeks, week_start
 from tickloom.operators.series import weekly_index
 
@@ -49,8 +49,7 @@ class Cutoffs:
     def of(bars: DataFrame, cfg: FeatureConfig) -> Cutoffs:
         """JOI5, SRC10: dates as scalar subqueries, or as literals where the config gives them.
 
-        A scalar subquery reaches every row without a join and without a trip to the driver, and
-        Spark can push a comparison with it down to the scan.
+        A scalar subquery reaches every row without a join and without a trip to the driver.
         """
         if cfg.cutoffs is not None:
             given = cfg.cutoffs
@@ -85,6 +84,22 @@ class Cutoffs:
         )
 
 
+def find_cutoffs(bars: DataFrame, cfg: FeatureConfig) -> FeatureConfig:
+    """SRC10: the config with its split dates filled in, from one summary row.
+
+    Worth its own small job where several plans use the dates, or where a plan reads only some
+    weeks: dates known beforehand prune partitions and row groups of the scan. Without any bars
+    the config stays as it is.
+    """
+    if cfg.cutoffs is not None:
+        return cfg
+    row = cutoff_frame(weekly_index(bars, cfg.week_mode), cfg).first()
+    if row["max_date"] is None:
+        return cfg
+    found = FixedCutoffs(row["test_start"], row["holdout_start"], row["holdout_end"])
+    return replace(cfg, cutoffs=found)
+
+
 def assign_split(series: DataFrame, cut: Cutoffs) -> DataFrame:
     """Add the period of each series."""
     return series.withColumn("split", cut.split_of(F.col("ts_start")))

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.config import FeatureConfig
-from tickloom.functions.arrays import candidate_starts, let
+from tickloom.functions.arrays import candidate_starts
 from tickloom.functions.hashing import key_text
 from tickloom.functions.timekeys import plus_steps
-from tickloom.operators.series import column_points
+from tickloom.operators.series import long_series
 
 
 def sample_starts(
@@ -25,52 +23,34 @@ def sample_starts(
     return F.slice(F.sort_array(ranked), 1, n_tests).getField("i")
 
 
-def windows_of(points: Column, column: str, cfg: FeatureConfig) -> Column:
-    """GEN1, ARR2, DAT8: array of (start_index, start_ts, target) for one value column.
+def windows_of(cfg: FeatureConfig) -> Column:
+    """GEN1, ARR2, DAT8: array of (start_index, start_ts, target) of a row of `long_series`.
 
-    Reads the columns `instrument`, `week_key` and `ts_start` beside the points. Windows are cut
-    inside one expression, so the exploded rows carry a window and never the whole series.
+    Windows are cut inside one expression, so the rows it is spread into carry a window each and
+    never the whole series.
     """
-    key = key_text(cfg.seed, F.col("instrument"), F.lit(column), F.col("week_key"))
-
-    def cut(kept: Column) -> Column:
-        def start_of(s: Column) -> Column:
-            if cfg.window_start == "fixed_step":
-                return plus_steps(F.col("ts_start"), s, cfg.step_seconds)
-            return F.get(kept, s)["ts"]
-
-        return F.transform(
-            sample_starts(F.size(kept), key, cfg.length, cfg.n_tests, cfg.include_last_window),
-            lambda s: F.struct(
-                s.alias("start_index"),
-                start_of(s).alias("start_ts"),
-                F.slice(kept, s + 1, cfg.length).getField(column).alias("target"),
-            ),
-        )
-
-    return let(column_points(points, column, cfg.nulls), cut)
+    key = key_text(cfg.seed, F.col("instrument"), F.col("column"), F.col("week_key"))
+    n = F.size("values")
+
+    def start_of(s: Column) -> Column:
+        if cfg.window_start == "fixed_step":
+            return plus_steps(F.col("ts_start"), s, cfg.step_seconds)
+        return F.get("times", s)
+
+    return F.transform(
+        sample_starts(n, key, cfg.length, cfg.n_tests, cfg.include_last_window),
+        lambda s: F.struct(
+            s.alias("start_index"),
+            start_of(s).alias("start_ts"),
+            F.slice("values", s + 1, cfg.length).alias("target"),
+        ),
+    )
 
 
 def sample_windows(series: DataFrame, cfg: FeatureConfig) -> DataFrame:
     """GEN1, GEN2: one row per sampled window of every series and value column."""
-    per_column = [
-        F.transform(
-            windows_of(F.col("points"), column, cfg),
-            named_window(column, column_id),
-        )
-        for column_id, column in enumerate(cfg.columns)
-    ]
-    return series.select("instrument", "week_key", F.inline(F.flatten(F.array(*per_column))))
-
-
-def named_window(column: str, column_id: int) -> Callable[[Column], Column]:
-    """Adds the value column's id and name to a window."""
-    return lambda w: F.struct(
-        F.lit(column_id).alias("column_id"),
-        F.lit(column).alias("column"),
-        w["start_index"].alias("start_index"),
-        w["start_ts"].alias("start_ts"),
-        w["target"].alias("target"),
+    return long_series(series, cfg.columns, cfg.nulls).select(
+        "instrument", "week_key", "column_id", "column", F.inline(windows_of(cfg))
     )
 
 

@@ -11,9 +11,15 @@ from tickloom.config import FeatureConfig
 from tickloom.functions.arrays import to_delta
 from tickloom.functions.timekeys import start_text
 from tickloom.operators.lookups import id_lookup
-from tickloom.operators.series import column_values, weekly_series
-from tickloom.operators.splits import SPLITS, Cutoffs, assign_split, bars_of_split
-from tickloom.operators.windows import named_window, windows_of
+from tickloom.operators.series import long_series, weekly_series
+from tickloom.operators.splits import (
+    SPLITS,
+    Cutoffs,
+    assign_split,
+    bars_of_split,
+    find_cutoffs,
+)
+from tickloom.operators.windows import windows_of
 
 ROW_KEY = ("split", "instrument", "column", "week_key", "start_index")
 
@@ -21,26 +27,34 @@ ROW_KEY = ("split", "instrument", "column", "week_key", "start_index")
 def build_features(
     bars: DataFrame, cfg: FeatureConfig, splits: Sequence[str] = SPLITS
 ) -> DataFrame:
-    """Feature rows of every instrument and column, with their split.
+    """PRJ3, PRJ4: feature rows of every instrument and column, with their split.
 
     Columns: split, instrument, column, week_key, start_index, cat, start, target. One pass: the
     bars are shuffled once into weekly series; training series and sampled windows both come from
-    that one frame. Asking for a single split reads only the weeks of that split.
+    that one frame. Asking for a single split looks up the dates first and reads only its weeks.
     """
-    listed = bars.where(F.col("instrument").isin(list(cfg.instruments)))
-    cut = Cutoffs.of(listed, cfg)
-    wanted = listed
+    wanted = listed_bars(bars, cfg)
     if len(splits) == 1:
-        wanted = bars_of_split(listed, cut, splits[0], cfg.week_mode)
+        cfg = find_cutoffs(wanted, cfg)
+        cut = Cutoffs.of(wanted, cfg)
+        wanted = bars_of_split(wanted, cut, splits[0], cfg.week_mode)
+    else:
+        cut = Cutoffs.of(wanted, cfg)
     series = assign_split(weekly_series(wanted, cfg.week_mode, cfg.columns), cut)
     series = series.where(F.col("split").isin(list(splits)))
     if cfg.series_limit is not None:
         series = _oldest_per_split(series, cfg.series_limit)
 
-    per_column = [_rows_of(c, i, cfg) for i, c in enumerate(cfg.columns)]
-    rows = series.select(
-        "split", "instrument", "week_key", F.inline(F.flatten(F.array(*per_column)))
+    long = long_series(series, cfg.columns, cfg.nulls)
+    whole = F.array(
+        F.struct(
+            F.lit(0).alias("start_index"),
+            F.col("ts_start").alias("start_ts"),
+            F.col("values").alias("target"),
+        )
     )
+    cut_out = F.when(F.col("split") == "train", whole).otherwise(windows_of(cfg))
+    rows = long.select("split", "instrument", "week_key", "column_id", "column", F.inline(cut_out))
     named = rows.join(id_lookup(bars.sparkSession, cfg.instruments, "instrument"), "instrument")
     return named.select(
         *ROW_KEY,
@@ -50,18 +64,9 @@ def build_features(
     )
 
 
-def _rows_of(column: str, column_id: int, cfg: FeatureConfig) -> Column:
-    """PRJ3, PRJ4: rows one value column adds: a whole series in training, windows elsewhere."""
-    points = F.col("points")
-    whole = F.array(
-        F.struct(
-            F.lit(0).alias("start_index"),
-            F.col("ts_start").alias("start_ts"),
-            column_values(points, column, cfg.nulls).alias("target"),
-        )
-    )
-    cut = F.when(F.col("split") == "train", whole).otherwise(windows_of(points, column, cfg))
-    return F.transform(cut, named_window(column, column_id))
+def listed_bars(bars: DataFrame, cfg: FeatureConfig) -> DataFrame:
+    """Bars of the instruments the config lists."""
+    return bars.where(F.col("instrument").isin(list(cfg.instruments)))
 
 
 def scale_of(cfg: FeatureConfig) -> Column:

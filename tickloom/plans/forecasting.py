@@ -13,11 +13,11 @@ from tickloom.functions.hashing import key_text
 from tickloom.operators.baseline import fit_changes, predict_quantiles
 from tickloom.operators.forecasts import context_split, forecast_frame
 from tickloom.operators.series import weekly_series
-from tickloom.operators.splits import Cutoffs, assign_split
+from tickloom.operators.splits import Cutoffs, assign_split, bars_of_split, find_cutoffs
 from tickloom.operators.windows import sample_windows
 from tickloom.operators.lookups import id_lookup
 from tickloom.functions.arrays import to_delta
-from tickloom.plans.features import build_features, scale_of
+from tickloom.plans.features import build_features, listed_bars, scale_of
 
 
 def holdout_requests(bars: DataFrame, cfg: FeatureConfig, context_len: int) -> DataFrame:
@@ -35,9 +35,11 @@ def holdout_requests(bars: DataFrame, cfg: FeatureConfig, context_len: int) -> D
 
 def training_windows(bars: DataFrame, cfg: FeatureConfig) -> DataFrame:
     """Windows sampled from the training weeks in the way test windows are."""
-    listed = bars.where(F.col("instrument").isin(list(cfg.instruments)))
+    listed = listed_bars(bars, cfg)
+    cfg = find_cutoffs(listed, cfg)
     cut = Cutoffs.of(listed, cfg)
-    series = assign_split(weekly_series(listed, cfg.week_mode, cfg.columns), cut)
+    early = bars_of_split(listed, cut, "train", cfg.week_mode)
+    series = assign_split(weekly_series(early, cfg.week_mode, cfg.columns), cut)
     windows = sample_windows(series.where(F.col("split") == "train"), cfg)
     named = windows.join(id_lookup(bars.sparkSession, cfg.instruments, "instrument"), "instrument")
     if cfg.scale is None:
@@ -52,6 +54,7 @@ def baseline_forecasts(
     quantiles: Sequence[str] = fixed.QUANTILES,
 ) -> DataFrame:
     """REA2: holdout requests with predicted quantiles."""
+    cfg = find_cutoffs(listed_bars(bars, cfg), cfg)
     fitted = fit_changes(training_windows(bars, cfg), context_len)
     return predict_quantiles(
         holdout_requests(bars, cfg, context_len),
