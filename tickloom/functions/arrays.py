@@ -20,7 +20,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def to_delta(values: Column, scale: Column | float) -> Column:
     """MTH1: difference from the first value, times a multiplier; an empty array stays empty."""
     factor = scale if isinstance(scale, Column) else F.lit(float(scale))
-    return F.transform(values, lambda x: (x - F.get(values, F.lit(0))) * factor)
+    base = F.struct(F.get(values, F.lit(0)).alias("first"), factor.alias("factor"))
+    return let(base, lambda b: F.transform(values, lambda x: (x - b["first"]) * b["factor"]))
 
 
 def prefix(values: Column, length: int) -> Column:
