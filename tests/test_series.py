@@ -64,10 +64,10 @@ def test_hours_the_session_zone_lacks_are_kept(spark):
 def test_bar_files_name_their_instrument(spark, tmp_path):
     header = "Gmt time,Open,High,Low,Close,Volume\n"
     (tmp_path / "audusd_1m.csv").write_text(header + "01.01.2018 00:00:00.000,1,2,0.5,1.5,10\n")
-    (tmp_path / "usdjpy_1m.csv").write_text(
+    (tmp_path / "usdjpy_1m_partial.csv").write_text(
         header + "01.01.2018 00:01:00.000,3,4,2.5,3.5,20\nnonsense,1,1,1,1,1\n"
     )
-    raw = read_bar_files(spark, str(tmp_path / "*_1m.csv"))
+    raw = read_bar_files(spark, str(tmp_path / "*_1m*.csv"))
     assert raw.columns == ["Time", "Open", "High", "Low", "Close", "Volume", "instrument"]
     bad = rejected(standardize(raw)).collect()
     assert [r["Time"] for r in bad] == ["nonsense"]

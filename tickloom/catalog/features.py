@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.catalog.standins import (
+    INCLUSIVE_CONFIG,
     LINE_CONFIG,
     LINE_SERIES,
     ORDER_BARS,
     ORDER_CONFIG,
     ORDER_SERIES,
+    PARITY_CONFIG,
     TS_TEXT,
     line_bars,
     order_bars,
+    series_sql,
     spread,
     table,
     tidy,
 )
+from tickloom.config import FeatureConfig
 from tickloom.functions.arrays import to_delta
 from tickloom.functions.sql import register_sql_functions
 from tickloom.functions.timekeys import WEEK_MODES, week_key
@@ -35,10 +37,9 @@ from tickloom.operators.series import (
 )
 from tickloom.operators.splits import Cutoffs, assign_split, bars_of_split, cutoff_frame
 from tickloom.operators.windows import sample_windows, too_short
-from tickloom.plans.features import build_features, walk_through_config
+from tickloom.plans.features import ROW_KEY, build_features, walk_through_config
 from tickloom.session import new_folder
 from tickloom.sinks.write import write_features
-from tickloom.plans.features import ROW_KEY
 
 COLS = ("open", "close", "high", "low", "volume")
 
@@ -141,6 +142,28 @@ def line_feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _feature_values(build_features(line_bars(spark, sf_dir), LINE_CONFIG))
 
 
+def with_config(cfg: FeatureConfig):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _feature_values(build_features(order_bars(spark, sf_dir), cfg))
+
+    return query
+
+
+def _gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order bars without a volume on days with a single order."""
+    bars = order_bars(spark, sf_dir)
+    return bars.withColumn("volume", F.when(F.col("volume") > 1, F.col("volume")))
+
+
+def _gap_lists(nulls: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lists = features_table(weekly_series(_gaps(spark, sf_dir)), ("close", "volume"), nulls)
+        sized = lists.withColumn("n_close", F.size("close"))
+        return tidy(spread(sized, "instrument", "week_key", "n_close", values="volume"))
+
+    return query
+
+
 def walk_through(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = walk_through_config("3-MEDIUM", length=3, n_tests=2)
     return _feature_values(build_features(order_bars(spark, sf_dir), cfg))
@@ -225,6 +248,10 @@ QUERIES = {
     "holdout_set": one_split("holdout"),
     "feature_rows": feature_rows,
     "line_feature_rows": line_feature_rows,
+    "parity_features": with_config(PARITY_CONFIG),
+    "inclusive_features": with_config(INCLUSIVE_CONFIG),
+    "lists_without_gaps": _gap_lists("drop"),
+    "lists_with_gaps": _gap_lists("keep"),
     "walk_through_features": walk_through,
     "union_sets": united,
     "shuffle_rows": shuffled,
@@ -252,6 +279,15 @@ FROM (
 JOIN names n ON n.instrument = f.instrument
 """
 
+_GAPS = f"""
+WITH {ORDER_BARS.strip()},
+gaps AS (
+    SELECT instrument, isoyear(ts) * 100 + week(ts) AS week_key, ts,
+        CASE WHEN volume > 1 THEN volume END AS volume,
+        count(*) OVER (PARTITION BY instrument, isoyear(ts) * 100 + week(ts)) AS n_close
+    FROM bars)
+"""
+
 _STORED = f"""
 {ORDER_SERIES}
 SELECT f.split, strftime(f.start_ts, '{TS_TEXT}') AS start, f.column_id AS cat_column,
@@ -319,6 +355,18 @@ ORACLES = {
     "holdout_set": f"{ORDER_SERIES} SELECT * FROM ({_FEATURES}) WHERE split = 'holdout'",
     "feature_rows": f"{ORDER_SERIES} {_FEATURES}",
     "line_feature_rows": f"{LINE_SERIES} {_FEATURES}",
+    "parity_features": f"{series_sql(ORDER_BARS, PARITY_CONFIG)} {_FEATURES}",
+    "inclusive_features": f"{series_sql(ORDER_BARS, INCLUSIVE_CONFIG)} {_FEATURES}",
+    "lists_without_gaps": f"""
+        {_GAPS}
+        SELECT instrument, week_key, n_close,
+            row_number() OVER (PARTITION BY instrument, week_key ORDER BY ts) - 1 AS pos, volume AS value
+        FROM gaps WHERE volume IS NOT NULL""",
+    "lists_with_gaps": f"""
+        {_GAPS}
+        SELECT instrument, week_key, n_close,
+            row_number() OVER (PARTITION BY instrument, week_key ORDER BY ts) - 1 AS pos, volume AS value
+        FROM gaps""",
     "walk_through_features": f"""
         WITH {ORDER_BARS.strip()},
         keyed AS (

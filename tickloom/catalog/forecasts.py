@@ -20,9 +20,16 @@ from tickloom.operators.baseline import fit_changes
 from tickloom.operators.evaluate import weighted_quantile_loss
 from tickloom.operators.forecasts import context_split, forecast_frame, parse_responses, request_payloads
 from tickloom.operators.scoring import batch_score, last_value_scorer
-from tickloom.plans.forecasting import baseline_forecasts, compare_forecasts, holdout_requests, training_windows
+from tickloom.plans.features import ROW_KEY, build_features
+from tickloom.plans.forecasting import (
+    baseline_forecasts,
+    compare_forecasts,
+    holdout_requests,
+    stored_requests,
+    training_windows,
+)
 from tickloom.session import new_folder
-from tickloom.sinks.write import write_predictions
+from tickloom.sinks.write import write_features, write_predictions
 
 HORIZON = LINE_CONFIG.length - CONTEXT_LEN
 BATCH = 30
@@ -49,6 +56,19 @@ def first_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(spread(rows, "request_id", values="context"))
 
 
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holdout rows written, read back from their folder and scored there."""
+    folder = new_folder(spark, "holdout")
+    features = build_features(line_bars(spark, sf_dir), LINE_CONFIG)
+    write_features(features, folder, ROW_KEY, LINE_CONFIG.seed)
+    found = stored_requests(spark, f"{folder}/split=holdout", CONTEXT_LEN, min_bytes=1)
+    return _lines(
+        batch_score(
+            found.select("request_id", "context"), last_value_scorer(HORIZON, QUANTILES), SCORED
+        )
+    )
+
+
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bodies read back field by field."""
     made = request_payloads(requests(spark, sf_dir), quantiles=QUANTILES, batch_size=BATCH)
@@ -147,6 +167,7 @@ def loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "context_split": contexts,
     "first_requests": first_requests,
+    "stored_requests": stored,
     "request_payload": payloads,
     "response_parse": responses,
     "batch_score": scored,
@@ -195,6 +216,12 @@ ORACLES = {
         SELECT request_id, pos, delta AS value FROM req
         WHERE pos < {CONTEXT_LEN} AND request_id IN (
             SELECT DISTINCT request_id FROM req ORDER BY request_id LIMIT 5)""",
+    "stored_requests": f"""
+        {REQUESTS}
+        SELECT column_id || ':' || instrument_id || ':' || strftime(start_ts, '%Y-%m-%d %H:%M:%S')
+                AS request_id,
+            quantile, step - 1 AS pos, delta AS value
+        FROM last CROSS JOIN steps CROSS JOIN (VALUES {_QS}) q(quantile)""",
     "request_payload": f"""
         {REQUESTS}
         SELECT (row_number() OVER (ORDER BY md5('42:' || request_id), request_id) - 1) // {BATCH} AS batch,

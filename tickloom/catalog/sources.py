@@ -10,7 +10,7 @@ from tickloom.functions import fixed
 from tickloom.functions.timekeys import parse_bar_time
 from tickloom.operators.series import features_table, weekly_series
 from tickloom.session import new_folder
-from tickloom.sources.bars import read_bar_files, read_bars, standardize
+from tickloom.sources.bars import read_bar_files, read_bars, rejected, standardize
 from tickloom.sources.files import (
     first_usable_file,
     list_files,
@@ -40,7 +40,7 @@ def _bar_folder(spark: SparkSession, sf_dir: str) -> str:
             F.col("close").alias("Close"),
             F.col("volume").alias("Volume"),
         )
-        .repartition("file")
+        .hint("rebalance", "file")
         .write.partitionBy("file")
         .option("header", True)
         .csv(folder)
@@ -96,12 +96,33 @@ def binary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return images.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length")
 
 
+def binary_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as files in a folder per source, read back as bytes."""
+    folder = new_folder(spark, "texts")
+    texts = table(spark, sf_dir, "documents").select("source", "text")
+    texts.write.partitionBy("source").text(folder)
+    files = read_images(spark, folder, "*.txt")
+    return files.groupBy(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source")).agg(
+        F.sum("length").alias("length"),
+        F.sum(F.octet_length("content").cast("long")).alias("n_bytes"),
+    )
+
+
+def unreadable_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose time text is none: those of one type carry their properties instead."""
+    text = F.when(F.col("event_type") == "error", F.col("props")).otherwise(
+        F.date_format("ts", fixed.BAR_TIME_PATTERN)
+    )
+    raw = table(spark, sf_dir, "events").select("event_id", text.alias("Time"))
+    return rejected(standardize(raw)).select("event_id", "Time")
+
+
 def _event_folder(spark: SparkSession, sf_dir: str) -> str:
     """Events as JSON files, beside files of another kind and a file that holds next to nothing."""
     folder = new_folder(spark, "events")
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    events.repartition(4, "event_id").write.json(folder)
-    events.repartition(4, "event_id").write.mode("append").csv(folder)
+    events.write.json(folder)
+    events.write.mode("append").csv(folder)
     newest = events.agg(F.max("event_id").cast("string"))
     newest.write.mode("append").format("text").save(folder)
     newest.selectExpr("CAST(NULL AS STRING) AS nothing").write.mode("append").json(folder)
@@ -141,6 +162,8 @@ QUERIES = {
     "standardize_time": standardized,
     "image_filter": image_filter,
     "binary_scan": binary_scan,
+    "binary_lengths": binary_lengths,
+    "rejected_rows": unreadable_times,
     "file_select": file_select,
     "file_choice": file_choice,
 }
@@ -174,6 +197,12 @@ ORACLES = {
     "image_filter": f"""
         SELECT page_id, url, CAST(octet_length(encode(html)) AS BIGINT) AS length FROM pages
         WHERE octet_length(encode(html)) <= {PAGE_BYTES}""",
+    "binary_lengths": """
+        SELECT source, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS length,
+            CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes
+        FROM documents GROUP BY 1""",
+    "rejected_rows": """
+        SELECT event_id, props AS "Time" FROM events WHERE event_type = 'error'""",
     "file_select": "SELECT event_id, event_type, value FROM events",
     "file_choice": """
         SELECT count(*) > 0 AS found, count(*) > 0 AS all_filled, CAST(1 AS BIGINT) AS n_chosen

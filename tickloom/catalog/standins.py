@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,6 +91,13 @@ bars AS (
     FROM lineitem GROUP BY 1, 2)"""
 
 
+WEEK_SQL = {
+    "iso": "isoyear(ts) * 100 + week(ts)",
+    "year_major": "year(ts) * 100 + week(ts)",
+    "week_major": "week(ts) * 10000 + year(ts)",
+}
+
+
 def series_sql(bars: str, cfg: FeatureConfig) -> str:
     """Common table expressions from bars to sampled windows, written with joins and windows.
 
@@ -101,18 +110,22 @@ def series_sql(bars: str, cfg: FeatureConfig) -> str:
     pick = " ".join(f"WHEN '{c}' THEN {c}" for c in cfg.columns)
     back = 7 * (cfg.holdout_weeks - 1)
     scale = " ".join(f"WHEN '{k}' THEN {v}" for k, v in cfg.scale_overrides.items())
+    newest = f"WHERE instrument = '{cfg.cutoff_from}'" if cfg.cutoff_from else ""
+    after = 1 if cfg.include_last_week else 0
+    spare = 1 if cfg.include_last_window else 0
+    begin = "o.ts" if cfg.window_start == "point" else "s.ts_start + to_minutes(s.start_index)"
     factor = f"CASE p.instrument {scale} ELSE {cfg.scale} END" if scale else f"{cfg.scale}"
     return f"""
 WITH {bars.strip()},
-keyed AS (SELECT *, isoyear(ts) * 100 + week(ts) AS week_key FROM bars),
+keyed AS (SELECT *, {WEEK_SQL[cfg.week_mode]} AS week_key FROM bars),
 idx AS (
     SELECT instrument, week_key, min(ts) AS ts_start, count(*) AS n FROM keyed GROUP BY 1, 2),
 cut AS (
-    SELECT date_trunc('day', max(ts_start)) AS holdout_end,
+    SELECT date_trunc('day', max(ts_start)) + INTERVAL {after} DAY AS holdout_end,
         date_trunc('day', max(ts_start)) - INTERVAL {back} DAY AS holdout_start,
         date_trunc('day', max(ts_start)) - INTERVAL {back + 7 * cfg.test_weeks} DAY AS test_start,
         min(ts_start) AS min_date, max(ts_start) AS max_date
-    FROM idx),
+    FROM idx {newest}),
 ser AS (
     SELECT idx.*, CASE WHEN ts_start < test_start THEN 'train'
         WHEN ts_start < holdout_start THEN 'test'
@@ -129,8 +142,8 @@ pts AS (
         CAST(CASE value_column {pick} END AS DOUBLE) AS v
     FROM keyed CROSS JOIN cols),
 cand AS (
-    SELECT instrument, week_key, split, column_id, value_column,
-        unnest(range(0, n - {cfg.length})) AS start_index
+    SELECT instrument, week_key, split, ts_start, column_id, value_column,
+        unnest(range(0, n - {cfg.length} + {spare})) AS start_index
     FROM ser CROSS JOIN cols),
 starts AS (
     SELECT * FROM (
@@ -142,7 +155,7 @@ starts AS (
     WHERE r <= {cfg.n_tests}),
 win AS (
     SELECT s.split, s.instrument, s.week_key, s.column_id, s.value_column, s.start_index,
-        o.ts AS start_ts, p.pos - s.start_index AS pos, p.v,
+        {begin} AS start_ts, p.pos - s.start_index AS pos, p.v,
         (p.v - o.v) * {factor} AS delta
     FROM starts s
     JOIN pts o ON o.instrument = s.instrument AND o.week_key = s.week_key
@@ -162,6 +175,10 @@ whole AS (
 
 
 ORDER_SERIES = series_sql(ORDER_BARS, ORDER_CONFIG)
+PARITY_CONFIG = replace(
+    ORDER_CONFIG, week_mode="week_major", cutoff_from=PRIORITIES[0], window_start="fixed_step"
+)
+INCLUSIVE_CONFIG = replace(ORDER_CONFIG, include_last_week=True, include_last_window=True, scale=1.0)
 LINE_SERIES = series_sql(LINE_BARS, LINE_CONFIG)
 
 TS_TEXT = "%Y-%m-%d %H:%M:%S"

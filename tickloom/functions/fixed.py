@@ -5,6 +5,10 @@ INSTRUMENTS = ("audusd", "eurusd", "usdjpy")
 COLUMNS = ("open", "close", "high", "low", "volume")
 CLASSES = ("bird",)
 
+# Header names of a bar file, and where a labelling job keeps its manifests.
+BAR_COLUMNS = ("Gmt time", "Open", "High", "Low", "Close", "Volume")
+MANIFEST_PATH = "{root}/ground_truth_output/{label}/manifests/output/{kind}.manifest"
+
 # Text formats of bar times and of feature start times.
 BAR_TIME_PATTERN = "dd.MM.yyyy HH:mm:ss.SSS"
 BAR_ZONE_SUFFIX = "+0000"

@@ -29,5 +29,8 @@ def extension(name: Column) -> Column:
 
 
 def instrument_of(path: Column) -> Column:
-    """SRC2: instrument from a file or folder called `{instrument}_1m.csv`."""
-    return F.regexp_extract(path, r"([^/=]+)_1m\.csv", 1)
+    """SRC2: instrument from a file or folder called `{instrument}_1m.csv`.
+
+    A suffix after `_1m`, as in `{instrument}_1m_partial.csv`, is allowed.
+    """
+    return F.regexp_extract(path, r"([^/=]+?)_1m(?:_[^/]*)?\.csv", 1)

@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.config import FeatureConfig
 from tickloom.functions import fixed
+from tickloom.functions.arrays import to_delta
 from tickloom.functions.hashing import key_text
 from tickloom.operators.baseline import fit_changes, predict_quantiles
 from tickloom.operators.forecasts import context_split, forecast_frame
+from tickloom.operators.lookups import id_lookup
 from tickloom.operators.series import weekly_series
 from tickloom.operators.splits import Cutoffs, assign_split, bars_of_split, find_cutoffs
 from tickloom.operators.windows import sample_windows
-from tickloom.operators.lookups import id_lookup
-from tickloom.functions.arrays import to_delta
 from tickloom.plans.features import build_features, listed_bars, scale_of
+from tickloom.sources.files import read_feature_rows
 
 
 def holdout_requests(bars: DataFrame, cfg: FeatureConfig, context_len: int) -> DataFrame:
@@ -33,6 +34,25 @@ def holdout_requests(bars: DataFrame, cfg: FeatureConfig, context_len: int) -> D
     return context_split(kinds, context_len)
 
 
+def with_request_id(rows: DataFrame) -> DataFrame:
+    """Stored feature rows named by their ids and start, which together are unique."""
+    return rows.withColumn(
+        "request_id", F.concat_ws(":", F.col("cat").cast("array<string>"), F.col("start"))
+    )
+
+
+def stored_requests(
+    spark: SparkSession,
+    folder: str,
+    context_len: int,
+    limit: int | None = None,
+    min_bytes: int = fixed.MIN_HOLDOUT_FILE_BYTES,
+) -> DataFrame:
+    """SRC5, SRC6, ARR3, LIM2: requests from the usable JSON files of a holdout folder."""
+    rows = with_request_id(read_feature_rows(spark, folder, min_bytes))
+    return context_split(rows, context_len, limit=limit)
+
+
 def training_windows(bars: DataFrame, cfg: FeatureConfig) -> DataFrame:
     """Windows sampled from the training weeks in the way test windows are."""
     listed = listed_bars(bars, cfg)

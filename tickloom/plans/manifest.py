@@ -19,7 +19,7 @@ def split_manifest(
 
 def manifest_path(root: str, label: str, kind: str) -> str:
     """STR4: where a labelling job keeps its manifests."""
-    return f"{root}/ground_truth_output/{label}/manifests/output/{kind}.manifest"
+    return fixed.MANIFEST_PATH.format(root=root, label=label, kind=kind)
 
 
 def manifest_counts(split: DataFrame) -> DataFrame:

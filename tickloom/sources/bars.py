@@ -7,22 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions import fixed
 from tickloom.functions.paths import instrument_of
 from tickloom.functions.timekeys import parse_bar_time
 
-# Header names of a bar file.
-BAR_FILE_SCHEMA = "`Gmt time` string, Open double, High double, Low double, Close double, Volume double"
 
-
-def read_bar_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_bar_files(
+    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] = fixed.BAR_COLUMNS
+) -> DataFrame:
     """SRC1, SRC2, PRJ2: all instruments in one scan, with `Time` as text.
 
-    The schema is declared, so no pass over the data is spent on guessing it. Files are named
-    `{instrument}_1m.csv`; folders of that name work as well. Columns are matched by position as
-    Spark does for declared schemas, with the header checked against the names.
+    The schema is declared, so no pass over the data is spent on guessing it. `columns` gives the
+    order in the files, which their header must confirm. Files are named `{instrument}_1m.csv`;
+    folders of that name work as well.
     """
+    schema = ", ".join(f"`{c}` {'string' if c == 'Gmt time' else 'double'}" for c in columns)
     return (
-        spark.read.schema(BAR_FILE_SCHEMA)
+        spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
         .csv(paths)
