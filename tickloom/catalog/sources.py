@@ -10,6 +10,7 @@ from tickloom.functions import fixed
 from tickloom.functions.timekeys import parse_bar_time
 from tickloom.operators.series import features_table, weekly_series
 from tickloom.session import new_folder
+from tickloom.sinks.write import deal_out
 from tickloom.sources.bars import read_bar_files, read_bars, rejected, standardize
 from tickloom.sources.files import (
     first_usable_file,
@@ -29,22 +30,16 @@ def _bar_folder(spark: SparkSession, sf_dir: str) -> str:
     """Order bars as files named after their instrument."""
     folder = new_folder(spark, "bars")
     code = F.lower(F.regexp_replace("instrument", "[^A-Za-z0-9]+", "_"))
-    (
-        order_bars(spark, sf_dir)
-        .select(
-            F.concat(code, F.lit("_1m.csv")).alias("file"),
-            F.date_format("ts", fixed.BAR_TIME_PATTERN).alias("Gmt time"),
-            F.col("open").alias("Open"),
-            F.col("high").alias("High"),
-            F.col("low").alias("Low"),
-            F.col("close").alias("Close"),
-            F.col("volume").alias("Volume"),
-        )
-        .hint("rebalance", "file")
-        .write.partitionBy("file")
-        .option("header", True)
-        .csv(folder)
+    rows = order_bars(spark, sf_dir).select(
+        F.concat(code, F.lit("_1m.csv")).alias("file"),
+        F.date_format("ts", fixed.BAR_TIME_PATTERN).alias("Gmt time"),
+        F.col("open").alias("Open"),
+        F.col("high").alias("High"),
+        F.col("low").alias("Low"),
+        F.col("close").alias("Close"),
+        F.col("volume").alias("Volume"),
     )
+    deal_out(rows, "file").write.partitionBy("file").option("header", True).csv(folder)
     return f"{folder}/file=*_1m.csv"
 
 

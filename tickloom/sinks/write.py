@@ -24,19 +24,23 @@ def write_features(
 
     Rows are dealt to tasks by a seeded hash and sorted by it inside each task, after the split.
     That is a full random mix with one shuffle, and no sampling pass over the plan before it as a
-    global sort needs. Rebalancing lets Spark join small pieces and cut big ones. Overwriting
-    replaces only the splits that are written, so a second run does not double rows.
+    global sort needs. Overwriting replaces only the splits that are written, so a second run does
+    not double rows.
     """
-    mixed = (
-        features.withColumn("_h", row_hash(seed, *[F.col(k) for k in keys]))
-        .hint("rebalance", "_h")
-        .select("split", "_h", *columns)
-        .sortWithinPartitions("split", "_h")
-        .drop("_h")
+    hashed = features.select(
+        "split", row_hash(seed, *[F.col(k) for k in keys]).alias("_h"), *columns
     )
+    mixed = deal_out(hashed, "_h").sortWithinPartitions("split", "_h").drop("_h")
     _write_by(mixed, "split", path, fmt, mode)
 
 
+def deal_out(df: DataFrame, key: str) -> DataFrame:
+    """Rows to tasks by key; where Spark adapts plans it joins small pieces and cuts big ones."""
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", key)
+    return df.repartition(key)
+
+
 def write_split(
     lines: DataFrame, path: str, column: str = "split", text: str = "line", mode: str = "overwrite"
 ) -> None:
