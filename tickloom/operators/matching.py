@@ -107,8 +107,8 @@ def _widest(level: Column) -> Column:
 
 
 def _cell(twice_centre: Column, level: Column) -> Column:
-    """Cell along one axis; cells of a size class are as wide as its widest box."""
-    return F.floor(twice_centre / (2 * _widest(level)))
+    """Cell along one axis; cells of a size class are twice as wide as its widest box."""
+    return F.floor(twice_centre / (4 * _widest(level)))
 
 
 def _in_cells(boxes: DataFrame) -> DataFrame:
@@ -131,8 +131,9 @@ def _around_cells(boxes: DataFrame, threshold: float) -> DataFrame:
         both = both.withColumn(
             level, F.explode(F.sequence(_class(least), _class(most)))
         )
-        # Twice the reach, as centres are doubled too; one more pixel covers rounding.
-        widest = F.greatest(F.col(size).cast("double"), _widest(F.col(level)))
+        # Partners are as wide as their class and the threshold allow. The reach is doubled as the
+        # centres are; one more pixel covers rounding.
+        widest = F.greatest(F.col(size), F.least(_widest(F.col(level)), most))
         reach = F.ceil(widest * (2 * (1 - threshold))) + 2
         middle = F.col(start) * 2 + F.col(size)
         both = both.withColumn(
