@@ -40,6 +40,7 @@ from tickloom.operators.windows import sample_windows, too_short
 from tickloom.plans.features import ROW_KEY, build_features, walk_through_config
 from tickloom.session import new_folder
 from tickloom.sinks.write import write_features
+from tickloom.sources.files import read_split
 
 COLS = ("open", "close", "high", "low", "volume")
 
@@ -222,8 +223,7 @@ def _round_trip(fmt: str):
         features = build_features(order_bars(spark, sf_dir), ORDER_CONFIG)
         for _ in range(2):
             write_features(features, folder, ROW_KEY, ORDER_CONFIG.seed, fmt=fmt)
-        stored = spark.read.schema("cat array<int>, start string, target array<double>, split string")
-        rows = stored.format(fmt).load(folder).where(F.col("split") == "train")
+        rows = read_split(spark, folder, "train", fmt)
         cats = rows.withColumn("cat_column", F.col("cat")[0]).withColumn(
             "cat_instrument", F.col("cat")[1]
         )

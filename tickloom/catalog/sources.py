@@ -86,6 +86,12 @@ def image_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(small_enough(images, PAGE_BYTES))
 
 
+def first_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    images = pages.select("page_id", "url", F.octet_length("html").alias("length"))
+    return tidy(small_enough(images, PAGE_BYTES, limit=21, key="url"))
+
+
 def binary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     images = small_enough(read_images(spark, sf_dir, "*.parquet"))
     return images.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length")
@@ -156,6 +162,7 @@ QUERIES = {
     "preview": first_orders,
     "standardize_time": standardized,
     "image_filter": image_filter,
+    "first_images": first_images,
     "binary_scan": binary_scan,
     "binary_lengths": binary_lengths,
     "rejected_rows": unreadable_times,
@@ -192,6 +199,9 @@ ORACLES = {
     "image_filter": f"""
         SELECT page_id, url, CAST(octet_length(encode(html)) AS BIGINT) AS length FROM pages
         WHERE octet_length(encode(html)) <= {PAGE_BYTES}""",
+    "first_images": f"""
+        SELECT page_id, url, CAST(octet_length(encode(html)) AS BIGINT) AS length FROM pages
+        WHERE octet_length(encode(html)) <= {PAGE_BYTES} ORDER BY url LIMIT 21""",
     "binary_lengths": """
         SELECT source, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS length,
             CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes

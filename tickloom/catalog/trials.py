@@ -45,11 +45,15 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(trial_report(order_trials(spark, sf_dir)))
 
 
-def stored_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stored_range(fmt: str):
     """Trials exported and read back, with objectives that are no finite numbers."""
-    folder = new_folder(spark, "trials")
-    order_trials(spark, sf_dir).write.json(folder)
-    return objective_range(valid_trials(read_trials(spark, folder)))
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = new_folder(spark, "trials")
+        order_trials(spark, sf_dir).write.format(fmt).save(folder)
+        return objective_range(valid_trials(read_trials(spark, folder, fmt)))
+
+    return query
 
 
 def _best(minimize: bool):
@@ -88,7 +92,8 @@ def param_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "trial_report": report,
-    "trial_range": stored_range,
+    "trial_range": _stored_range("json"),
+    "trial_range_parquet": _stored_range("parquet"),
     "best_trial": _best(True),
     "best_trial_highest": _best(False),
     "status_counts": statuses,
@@ -111,17 +116,20 @@ valid AS (
     WHERE NOT isnan("FinalObjectiveValue") AND "FinalObjectiveValue" > '-inf'::DOUBLE)
 """
 
+_RANGE = f"""
+{TRIALS}
+SELECT count(*) AS n_valid, min("FinalObjectiveValue") AS lowest,
+    max("FinalObjectiveValue") AS highest
+FROM valid"""
+
 ORACLES = {
     "trial_report": f"""
         {TRIALS}
         SELECT *, count(*) OVER () AS n_valid, min("FinalObjectiveValue") OVER () AS lowest,
             max("FinalObjectiveValue") OVER () AS highest
         FROM valid""",
-    "trial_range": f"""
-        {TRIALS}
-        SELECT count(*) AS n_valid, min("FinalObjectiveValue") AS lowest,
-            max("FinalObjectiveValue") AS highest
-        FROM valid""",
+    "trial_range": _RANGE,
+    "trial_range_parquet": _RANGE,
     "best_trial": f"""
         {TRIALS}
         SELECT * FROM valid ORDER BY "FinalObjectiveValue", "TrainingJobName" LIMIT 1""",

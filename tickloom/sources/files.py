@@ -44,6 +44,12 @@ def read_feature_rows(spark: SparkSession, path: str, min_bytes: int = 0) -> Dat
     return rows.where(F.col("_metadata.file_size") > min_bytes) if min_bytes else rows
 
 
+def read_split(spark: SparkSession, path: str, split: str, fmt: str = "json") -> DataFrame:
+    """SRC11: one split of stored feature rows; the other folders are not opened."""
+    stored = spark.read.schema(f"{FEATURE_SCHEMA}, split string").format(fmt).load(path)
+    return stored.where(F.col("split") == split)
+
+
 def is_usable(name: Column, size: Column, min_bytes: int) -> Column:
     """STR7: a JSON file that holds more than a few bytes."""
     return (extension(name) == "json") & (size > min_bytes)
@@ -81,14 +87,23 @@ def read_images(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     )
 
 
-def small_enough(images: DataFrame, max_bytes: int = fixed.MAX_IMAGE_BYTES) -> DataFrame:
-    """FLT4: leave out images too large to score."""
-    return images.where(F.col("length") <= max_bytes)
+def small_enough(
+    images: DataFrame,
+    max_bytes: int = fixed.MAX_IMAGE_BYTES,
+    limit: int | None = None,
+    key: str = "path",
+) -> DataFrame:
+    """FLT4, LIM3: leave out images too large to score; `limit` keeps the first ones by key."""
+    kept = images.where(F.col("length") <= max_bytes)
+    return kept if limit is None else kept.orderBy(key).limit(limit)
 
 
-def read_trials(spark: SparkSession, path: str) -> DataFrame:
+def read_trials(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """SRC8: exported tuning trials."""
-    return spark.read.schema(TRIAL_SCHEMA).option("allowNonNumericNumbers", True).json(path)
+    reader = spark.read.schema(TRIAL_SCHEMA).format(fmt)
+    if fmt == "json":
+        reader = reader.option("allowNonNumericNumbers", True)
+    return reader.load(path)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
