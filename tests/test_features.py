@@ -194,6 +194,33 @@ def test_same_rows_with_other_partitions(spark, six_weeks):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
+def test_bars_with_zoned_times_give_the_same_rows_in_gmt(six_weeks):
+    zoned = six_weeks.withColumn("ts", F.col("ts").cast("timestamp"))
+    for splits in (("train", "test", "holdout"), ("holdout",)):
+        expected = build_features(six_weeks, CFG, splits).collect()
+        assert sorted(map(str, build_features(zoned, CFG, splits).collect())) == sorted(map(str, expected))
+
+
+def test_dates_of_one_split_reach_the_scan(spark, six_weeks, tmp_path):
+    six_weeks.write.parquet(str(tmp_path / "bars"))
+    stored = spark.read.parquet(str(tmp_path / "bars"))
+    frame = build_features(stored, CFG, ("holdout",))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = frame._jdf.queryExecution().explainString(mode)
+    pushed = [line for line in plan.splitlines() if line.startswith("PushedFilters")]
+    read = [line for line in plan.splitlines() if line.startswith("ReadSchema")]
+    assert len(pushed) == len(read) == 1
+    assert "GreaterThanOrEqual(ts,2018-01-29T00:00)" in pushed[0] and "LessThan(ts," in pushed[0]
+    assert "volume" not in read[0] and "high" not in read[0]
+
+
+def test_series_are_built_with_one_shuffle(spark, six_weeks, tmp_path):
+    six_weeks.write.parquet(str(tmp_path / "bars"))
+    stored = spark.read.parquet(str(tmp_path / "bars"))
+    plan = weekly_series(stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
 def test_another_seed_samples_other_windows(six_weeks):
     a = build_features(six_weeks, CFG, ("test",)).select("start_index").collect()
     b = build_features(six_weeks, replace(CFG, seed=7), ("test",)).select("start_index").collect()

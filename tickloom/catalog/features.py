@@ -96,7 +96,8 @@ def delta_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = weekly_series(order_bars(spark, sf_dir), columns=("close",))
     factor = F.when(F.col("instrument") == "2-HIGH", 10.0).otherwise(1000.0)
     deltas = to_delta(F.col("points").getField("close"), factor)
-    return tidy(spread(series.select("instrument", "week_key", deltas.alias("target")), "instrument", "week_key"))
+    rows = series.select("instrument", "week_key", deltas.alias("target"))
+    return tidy(spread(rows, "instrument", "week_key"))
 
 
 def windows(spark: SparkSession, sf_dir: str) -> DataFrame:

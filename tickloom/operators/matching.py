@@ -30,13 +30,19 @@ def match_detections(
     box. Boxes are left, top, width, height in whole pixels; empty boxes match nothing.
     """
     # Of equal boxes only one can matter: the first truth, and the best detection.
-    one_truth = _solid(truths).groupBy("image_id", *_BOX).agg(F.min("truth_index").alias("truth_index"))
+    lowest = F.min("truth_index").alias("truth_index")
+    one_truth = _solid(truths).groupBy("image_id", *_BOX).agg(lowest)
     best = F.max(F.struct("score", (-F.col("det_index")).alias("_d")))
     one_det = (
         _solid(detections)
         .groupBy("image_id", *_BOX)
         .agg(best.alias("_best"))
-        .select("image_id", *_BOX, F.col("_best.score").alias("score"), (-F.col("_best._d")).alias("det_index"))
+        .select(
+            "image_id",
+            *_BOX,
+            F.col("_best.score").alias("score"),
+            (-F.col("_best._d")).alias("det_index"),
+        )
     )
     pairs = _in_cells(one_det).alias("d").join(
         _around_cells(one_truth, threshold).alias("t"),
