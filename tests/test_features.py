@@ -127,6 +127,17 @@ def test_cutoffs_fall_on_midnight(make_bars):
     assert row["holdout_end"] == datetime(2018, 1, 1) and row["max_date"].hour == 10
 
 
+@pytest.mark.parametrize("mode", ["iso", "year_major", "week_major"])
+@pytest.mark.parametrize("source", [None, "a", "b"])
+def test_dates_found_from_the_newest_week_are_those_of_all(make_bars, mode, source):
+    days = ["2018-01-01", "2018-12-24T05:00:00", "2018-12-27", "2018-12-31T07:00:00"]
+    bars = make_bars([("a", d, 1.0) for d in days] + [("b", d, 1.0) for d in days[:3]])
+    cfg = replace(CFG, week_mode=mode, cutoff_from=source)
+    row = cutoff_frame(weekly_index(bars, mode), cfg).first()
+    found = find_cutoffs(bars, cfg).cutoffs
+    assert found == FixedCutoffs(row["test_start"], row["holdout_start"], row["holdout_end"])
+
+
 def test_no_bars_no_rows(make_bars):
     none = make_bars([("other", "2018-01-01", 1.0)])
     assert find_cutoffs(none.limit(0), CFG) == CFG

@@ -66,8 +66,8 @@ def exact_split(
     The hash value at the cut is found first: one pass counts the rows by hash bucket, a second
     looks into the one bucket that holds the cut, and single rows come back to the driver. The rows
     themselves are then labelled by comparing their hash with it, without any shuffle. Copies of
-    one key that straddle the cut are told apart by their whole content, and rows equal in
-    everything are counted and written out again.
+    one key stay together, unless the cut falls between them: then they are told apart by their
+    whole content, and rows equal in everything are counted and written out again.
     """
     order = row_hash(seed, *[F.col(k) for k in keys])
     edge = _find_edge(df.select(order.alias("_h")), lambda total: round(total * fraction))

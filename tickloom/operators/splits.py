@@ -37,6 +37,20 @@ def cutoff_frame(index: DataFrame, cfg: FeatureConfig) -> DataFrame:
     )
 
 
+def newest_bars(bars: DataFrame, cfg: FeatureConfig) -> DataFrame:
+    """Bars that decide the newest series start: those of the newest ISO week.
+
+    No series of an earlier week can start later. So one column is read for the newest time, and
+    of the rest only the last week. The other week keys may join the last days to an early week
+    and need all bars.
+    """
+    if cfg.cutoff_from is not None:
+        bars = bars.where(F.col("instrument") == cfg.cutoff_from)
+    if cfg.week_mode != "iso":
+        return bars
+    return bars.where(F.col("ts") >= bars.agg(week_start(F.max("ts"))).scalar())
+
+
 @dataclass(frozen=True)
 class Cutoffs:
     """The three dates as columns any plan over the same session can use."""
@@ -59,7 +73,7 @@ class Cutoffs:
                     for d in (given.test_start, given.holdout_start, given.holdout_end)
                 ]
             )
-        frame = cutoff_frame(weekly_index(bars, cfg.week_mode), cfg)
+        frame = cutoff_frame(weekly_index(newest_bars(bars, cfg), cfg.week_mode), cfg)
         return Cutoffs(
             *[
                 frame.select(name).scalar()
@@ -93,7 +107,7 @@ def find_cutoffs(bars: DataFrame, cfg: FeatureConfig) -> FeatureConfig:
     """
     if cfg.cutoffs is not None:
         return cfg
-    row = cutoff_frame(weekly_index(bars, cfg.week_mode), cfg).first()
+    row = cutoff_frame(weekly_index(newest_bars(bars, cfg), cfg.week_mode), cfg).first()
     if row["max_date"] is None:
         return cfg
     found = FixedCutoffs(row["test_start"], row["holdout_start"], row["holdout_end"])
