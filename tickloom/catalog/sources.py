@@ -66,6 +66,21 @@ def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(preview(table(spark, sf_dir, "orders"), 5, "o_orderdate", "o_orderkey"))
 
 
+def first_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed times in ascending order."""
+    raw = table(spark, sf_dir, "events").select(
+        "event_id", F.date_format("ts", fixed.BAR_TIME_PATTERN).alias("Time")
+    )
+    return tidy(preview(standardize(raw), 5, "start", "event_id"))
+
+
+def first_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series by week."""
+    series = features_table(weekly_series(order_bars(spark, sf_dir)))
+    sized = series.select("week_key", "instrument", "ts_start", F.size("close").alias("n_points"))
+    return tidy(preview(sized, 5, "week_key", "instrument"))
+
+
 def standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = table(spark, sf_dir, "events").select(
         "event_id",
@@ -160,6 +175,8 @@ QUERIES = {
     "csv_bars": csv_bars,
     "named_view": named_view,
     "preview": first_orders,
+    "preview_by_time": first_bars,
+    "preview_by_week": first_weeks,
     "standardize_time": standardized,
     "image_filter": image_filter,
     "first_images": first_images,
@@ -191,6 +208,15 @@ ORACLES = {
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
             strftime(o_orderdate, '{TS_TEXT}') AS o_orderdate, o_orderpriority
         FROM (SELECT * FROM orders ORDER BY orders.o_orderdate, o_orderkey LIMIT 5)""",
+    "preview_by_time": f"""
+        SELECT strftime(date_trunc('milliseconds', ts), '{TS_TEXT}') AS start, event_id,
+            strftime(ts, '%d.%m.%Y %H:%M:%S.%g') AS "Time"
+        FROM events ORDER BY date_trunc('milliseconds', ts), event_id LIMIT 5""",
+    "preview_by_week": f"""
+        WITH {ORDER_BARS.strip()}
+        SELECT week_key, instrument, strftime(min(ts), '{TS_TEXT}') AS ts_start, count(*) AS n_points
+        FROM (SELECT *, isoyear(ts) * 100 + week(ts) AS week_key FROM bars)
+        GROUP BY 1, 2 ORDER BY week_key, instrument LIMIT 5""",
     "standardize_time": """
         SELECT event_id, event_type, strftime(ts, '%d.%m.%Y %H:%M:%S.%g') AS "Time",
             epoch_us(date_trunc('milliseconds', ts)) AS start,

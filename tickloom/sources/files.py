@@ -113,7 +113,11 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def preview(df: DataFrame, n: int = 5, *order: str) -> DataFrame:
-    """SRC9: the first rows, in an order that makes them the same each time."""
+    """SRC9, SRT1, SRT2: the first rows by time, week or any other order.
+
+    Each task keeps its own first rows, so nothing is sorted as a whole. Without an order the rows
+    are any.
+    """
     return df.orderBy(*order).limit(n) if order else df.limit(n)
 
 
