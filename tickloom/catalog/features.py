@@ -6,15 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.catalog.standins import (
+    EVENT_CONFIG,
+    EVENT_SERIES,
     INCLUSIVE_CONFIG,
     LINE_CONFIG,
     LINE_SERIES,
+    MINUTE_BARS,
     ORDER_BARS,
     ORDER_CONFIG,
     ORDER_SERIES,
     PARITY_CONFIG,
     TS_TEXT,
     line_bars,
+    minute_bars,
     order_bars,
     series_sql,
     spread,
@@ -144,6 +148,14 @@ def line_feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _feature_values(build_features(line_bars(spark, sf_dir), LINE_CONFIG))
 
 
+def minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(minute_bars(spark, sf_dir))
+
+
+def minute_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _feature_values(build_features(minute_bars(spark, sf_dir), EVENT_CONFIG))
+
+
 def with_config(cfg: FeatureConfig):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _feature_values(build_features(order_bars(spark, sf_dir), cfg))
@@ -249,6 +261,8 @@ QUERIES = {
     "holdout_set": one_split("holdout"),
     "feature_rows": feature_rows,
     "line_feature_rows": line_feature_rows,
+    "minute_bars": minutes,
+    "minute_features": minute_features,
     "parity_features": with_config(PARITY_CONFIG),
     "inclusive_features": with_config(INCLUSIVE_CONFIG),
     "lists_without_gaps": _gap_lists("drop"),
@@ -356,6 +370,10 @@ ORACLES = {
     "holdout_set": f"{ORDER_SERIES} SELECT * FROM ({_FEATURES}) WHERE split = 'holdout'",
     "feature_rows": f"{ORDER_SERIES} {_FEATURES}",
     "line_feature_rows": f"{LINE_SERIES} {_FEATURES}",
+    "minute_bars": f"""
+        WITH {MINUTE_BARS.strip()}
+        SELECT instrument, {_text('ts')}, open, high, low, close, volume FROM bars""",
+    "minute_features": f"{EVENT_SERIES} {_FEATURES}",
     "parity_features": f"{series_sql(ORDER_BARS, PARITY_CONFIG)} {_FEATURES}",
     "inclusive_features": f"{series_sql(ORDER_BARS, INCLUSIVE_CONFIG)} {_FEATURES}",
     "lists_without_gaps": f"""

@@ -12,6 +12,7 @@ from tickloom.config import FeatureConfig
 from tickloom.functions.timekeys import start_text
 
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 LINE_KINDS = ("AF", "AO", "NF", "NO", "RF", "RO")
 
 ORDER_CONFIG = FeatureConfig(
@@ -91,6 +92,33 @@ bars AS (
     FROM lineitem GROUP BY 1, 2)"""
 
 
+def minute_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-minute bars of event values; the event type is the instrument.
+
+    However many events there are, a week of one type has at most 10,080 such bars.
+    """
+    return (
+        table(spark, sf_dir, "events")
+        .groupBy(F.col("event_type").alias("instrument"), F.window("ts", "1 minute").alias("w"))
+        .agg(
+            F.min_by("value", "event_id").alias("open"),
+            F.max("value").alias("high"),
+            F.min("value").alias("low"),
+            F.max_by("value", "event_id").alias("close"),
+            F.count(F.lit(1)).cast("double").alias("volume"),
+        )
+        .select("instrument", F.col("w.start").alias("ts"), "open", "high", "low", "close", "volume")
+    )
+
+
+MINUTE_BARS = """
+bars AS (
+    SELECT event_type AS instrument, date_trunc('minute', ts) AS ts,
+        arg_min(value, event_id) AS open, max(value) AS high, min(value) AS low,
+        arg_max(value, event_id) AS close, CAST(count(*) AS DOUBLE) AS volume
+    FROM events GROUP BY 1, 2)"""
+
+
 WEEK_SQL = {
     "iso": "isoyear(ts) * 100 + week(ts)",
     "year_major": "year(ts) * 100 + week(ts)",
@@ -179,6 +207,10 @@ PARITY_CONFIG = replace(
     ORDER_CONFIG, week_mode="week_major", cutoff_from=PRIORITIES[0], window_start="fixed_step"
 )
 INCLUSIVE_CONFIG = replace(ORDER_CONFIG, include_last_week=True, include_last_window=True, scale=1.0)
+EVENT_CONFIG = FeatureConfig(
+    instruments=EVENT_TYPES, test_weeks=1, holdout_weeks=2, n_tests=20, length=60
+)
+EVENT_SERIES = series_sql(MINUTE_BARS, EVENT_CONFIG)
 LINE_SERIES = series_sql(LINE_BARS, LINE_CONFIG)
 
 TS_TEXT = "%Y-%m-%d %H:%M:%S"
