@@ -129,7 +129,7 @@ def test_cutoffs_fall_on_midnight(make_bars):
 
 @pytest.mark.parametrize("mode", ["iso", "year_major", "week_major"])
 @pytest.mark.parametrize("source", [None, "a", "b"])
-def test_dates_found_from_the_newest_week_are_those_of_all(make_bars, mode, source):
+def test_found_dates_are_those_of_the_summary_row(make_bars, mode, source):
     days = ["2018-01-01", "2018-12-24T05:00:00", "2018-12-27", "2018-12-31T07:00:00"]
     bars = make_bars([("a", d, 1.0) for d in days] + [("b", d, 1.0) for d in days[:3]])
     cfg = replace(CFG, week_mode=mode, cutoff_from=source)
