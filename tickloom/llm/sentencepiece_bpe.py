@@ -202,8 +202,8 @@ class PieceCodec:
                 continue
             release()
             text = self.raw[i].decode()
-            if first and self.pieces[i]:
-                text = text.removeprefix(" ")
+            if first and text:
+                text = text.removeprefix(" ") if self.pieces[i] else text
                 first = False
             out.append(text)
         release()

@@ -38,8 +38,8 @@ def _open(uri: str, write: bool = False):
         store, path = fs.FileSystem.from_uri(uri)
     if write:
         store.create_dir(path.rsplit("/", 1)[0], recursive=True)
-        return store.open_output_stream(path, buffer_size=IO_BYTES)
-    return store.open_input_stream(path, buffer_size=IO_BYTES)
+        return store.open_output_stream(path, compression=None, buffer_size=IO_BYTES)
+    return store.open_input_stream(path, compression=None, buffer_size=IO_BYTES)
 
 
 def decide(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
