@@ -62,16 +62,19 @@ class PieceCodec:
         apart = "".join(c for c in "\n\r\t" if not any(c in p for p in self.ids))
         alone = f"|[{apart}]" if apart else ""
         self.unit_pattern = re.compile(f"{SPACE}*[^{SPACE}{apart}]+|{SPACE}+{alone}")
-        self.shorter = {
-            i: next((self.ids[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.ids), -1)
-            for p, i in self.ids.items()
-        }
+        self.shorter = [-1] * count
+        for p, i in self.ids.items():
+            self.shorter[i] = next((self.ids[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.ids), -1)
+        self.length = [len(p) for p in self.pieces]
+        self.names = [str(i) for i in range(count)]
+        self.quads = [int(i).to_bytes(4, "little") for i in range(count)]
         self.matcher = ahocorasick.Automaton()
         for piece, i in self.ids.items():
             self.matcher.add_word(piece, (len(piece) - 1, i))
         self.matcher.make_automaton()
         self._fits: dict[int, bool] = {}
-        self._units: dict[str, tuple[str, int, bytes, bytes]] = {}
+        self._units: dict[str, tuple[str, int, bytes]] = {}
+        self._quads: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """Pieces of a short text by merging: the best score first, the leftmost among equals."""
@@ -120,6 +123,8 @@ class PieceCodec:
         longest = [-1] * len(unit)
         for end, (reach, i) in self.matcher.iter(unit):
             longest[end - reach] = i  # ends grow, so the last one is the longest
+        if -1 not in longest:
+            return self._backtrack(unit, longest, 0, len(unit))
         out: list[int] = []
         start = 0
         for stop in [*(k for k, i in enumerate(longest) if i < 0), len(unit)]:
@@ -133,28 +138,32 @@ class PieceCodec:
     def _backtrack(self, unit: str, longest: list[int], start: int, stop: int) -> list[int]:
         failed = 0  # bit k: no fitting rest from place start + k, whatever came before
         tokens: list[int] = []
-        lengths: list[int] = []
-        at = start
-        nxt = longest[at] if at < stop else -1
-        pieces, fits, shorter = self.pieces, self.fits, self.shorter
+        at, before = start, -1
+        token = longest[at] if at < stop else -1
+        fits, known, shorter, length = self.fits, self._fits, self.shorter, self.length
         while at < stop:
-            token = nxt
             while token >= 0:
-                end = at + len(pieces[token])
-                if end <= stop and not failed >> (end - start) & 1 and (not tokens or fits(tokens[-1], token)):
-                    break
+                end = at + length[token]
+                if end <= stop and not (failed and failed >> (end - start) & 1):
+                    if before < 0:
+                        break
+                    fit = known.get(before << 20 | token)
+                    if fits(before, token) if fit is None else fit:
+                        break
                 token = shorter[token]
             if token >= 0:
                 tokens.append(token)
-                lengths.append(end - at)
-                at = end
-                nxt = longest[at] if at < stop else -1
+                at, before = end, token
+                if at < stop:
+                    token = longest[at]
             else:
                 failed |= 1 << (at - start)
                 if not tokens:
                     raise AssertionError(f"no encoding of {unit!r}")
-                nxt = shorter[tokens.pop()]
-                at -= lengths.pop()
+                last = tokens.pop()
+                at -= length[last]
+                before = tokens[-1] if tokens else -1
+                token = shorter[last]
         return tokens
 
     def units(self, text: str) -> list[str]:
@@ -167,9 +176,17 @@ class PieceCodec:
 
     def encode_array(self, text: str) -> np.ndarray:
         """All ids of a text, the end id last, from remembered units."""
-        unit = self.unit
-        parts = [unit(u)[3] for u in self.units(text)]
-        return np.frombuffer(b"".join([*parts, np.array([self.end], np.int32).tobytes()]), np.int32)
+        parts, known = [], self._quads
+        for unit in self.units(text):
+            part = known.get(unit)
+            if part is None:
+                if len(known) >= KEPT_UNITS:
+                    known.clear()
+                part = b"".join([self.quads[i] for i in self.encode_unit(unit)])
+                if len(unit) <= 64:
+                    known[unit] = part
+            parts.append(part)
+        return np.frombuffer(b"".join([*parts, self.quads[self.end]]), "<i4")
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: pieces joined, byte tokens put together, the first space removed.
@@ -209,30 +226,29 @@ class PieceCodec:
         release()
         return "".join(out)
 
-    def unit(self, unit: str) -> tuple[str, int, bytes, bytes]:
-        """(ids as "12 34 ", number of ids, decoded bytes, ids as int32) of a unit, remembered."""
-        known = self._units.get(unit)
-        if known is None:
-            if len(self._units) >= KEPT_UNITS:
-                self._units.clear()
-            if len(self._fits) >= 4 * KEPT_UNITS:
-                self._fits.clear()
-            ids = self.encode_unit(unit)
-            raw = self.raw
-            known = (" ".join(map(str, ids)) + " ", len(ids), b"".join([raw[i] for i in ids]), np.array(ids, np.int32).tobytes())
-            if len(unit) <= 64:
-                self._units[unit] = known
-        return known
+    def unit(self, unit: str) -> tuple[str, int, bytes]:
+        """(ids as "12 34 ", number of ids, decoded bytes) of a unit, which is then remembered."""
+        if len(self._units) >= KEPT_UNITS:
+            self._units.clear()
+        if len(self._fits) >= 4 * KEPT_UNITS:
+            self._fits.clear()
+        ids = self.encode_unit(unit)
+        names, raw = self.names, self.raw
+        made = (" ".join([names[i] for i in ids]) + " ", len(ids), b"".join([raw[i] for i in ids]))
+        if len(unit) <= 64:
+            self._units[unit] = made
+        return made
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """(number of ids, SHA-256 of the ids, SHA-256 of the decoded text)."""
-        unit = self.unit
-        found = [unit(u) for u in self.units(text)]
-        ids = hashlib.sha256("".join([f[0] for f in found]).encode())
-        ids.update(str(self.end).encode())
-        decoded = b"".join([f[2] for f in found])
+        known, unit = self._units.get, self.unit
+        found = [known(u) or unit(u) for u in self.units(text)]
+        told, counts, raw = zip(*found) if found else ((), (), ())
+        ids = hashlib.sha256("".join(told).encode())
+        ids.update(self.names[self.end].encode())
         # Encoded units are whole characters, so their bytes are the decoded text but for the first space.
-        return sum([f[1] for f in found]) + 1, ids.hexdigest(), hashlib.sha256(decoded[1:]).hexdigest()
+        decoded = b"".join(raw)
+        return sum(counts) + 1, ids.hexdigest(), hashlib.sha256(decoded[1:]).hexdigest()
 
 
 _CODECS: dict[str, PieceCodec] = {}
