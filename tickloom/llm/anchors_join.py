@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.anchors import content_hashes, runs
@@ -103,7 +103,7 @@ def repeated_ranges(cands: DataFrame, reps: DataFrame, marks: DataFrame) -> Data
     marks: (anchor, seg, lo, hi), windows of a run, counted in the run, found to repeat.
     """
     pair = F.struct(F.col("lo"), F.col("hi"))
-    by_run = marks.groupBy("anchor", "seg").agg(F.collect_set(pair).alias("parts"))
+    by_run = marks.groupBy("anchor", "seg").agg(_joined(F.sort_array(F.collect_set(pair))).alias("parts"))
     copied = reps.where("copies > 1").select("anchor", "seg", F.array(F.struct(F.lit(0).alias("lo"), F.col("n").alias("hi"))).alias("parts"))
     single = by_run.join(reps.where("copies = 1").select("anchor", "seg"), ["anchor", "seg"]).select("anchor", "seg", "parts")
     parts = copied.union(single)
@@ -113,6 +113,18 @@ def repeated_ranges(cands: DataFrame, reps: DataFrame, marks: DataFrame) -> Data
     return all_.union(some).groupBy("id", "tk").agg(F.sort_array(F.collect_set(pair)).alias("ranges"))
 
 
+def _joined(pairs: Column) -> Column:
+    """Sorted ranges with those that touch put together."""
+    last = lambda done: F.get(done, F.size(done) - 1)
+
+    def add(done: Column, x: Column) -> Column:
+        longer = F.struct(last(done)["lo"].alias("lo"), F.greatest(last(done)["hi"], x["hi"]).alias("hi"))
+        grown = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))
+        return F.when(F.coalesce(last(done)["hi"] >= x["lo"], F.lit(False)), grown).otherwise(F.concat(done, F.array(x)))
+
+    return F.aggregate(pairs, F.array().cast("array<struct<lo: int, hi: int>>"), add)
+
+
 def spans(ranges: list, window: int) -> list[tuple[int, int]]:
     """Maximal runs of symbols covered by windows that begin in the ranges (sorted pairs)."""
     out: list[list[int]] = []
