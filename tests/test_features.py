@@ -279,7 +279,7 @@ def test_files_hold_rows_in_hash_order(spark, six_weeks, tmp_path):
 def test_stored_rows_read_back(spark, six_weeks, tmp_path):
     df = build_features(six_weeks, CFG)
     write_features(df, str(tmp_path), ROW_KEY, CFG.seed)
-    rows = read_feature_rows(spark, f"{tmp_path}/split=holdout", min_bytes=100)
+    rows = read_feature_rows(spark, f"{tmp_path}/split=holdout")
     expected = model_rows(df).where("split = 'holdout'").drop("split")
     assert sorted(map(str, rows.collect())) == sorted(map(str, expected.collect()))
 

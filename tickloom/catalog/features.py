@@ -179,7 +179,7 @@ def _gap_lists(nulls: str):
 
 
 def walk_through(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = walk_through_config("3-MEDIUM", length=3, n_tests=2)
+    cfg = walk_through_config("3-MEDIUM", length=3, n_tests=2, series_limit=100)
     return _feature_values(build_features(order_bars(spark, sf_dir), cfg))
 
 

@@ -61,7 +61,7 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "holdout")
     features = build_features(line_bars(spark, sf_dir), LINE_CONFIG)
     write_features(features, folder, ROW_KEY, LINE_CONFIG.seed)
-    found = stored_requests(spark, f"{folder}/split=holdout", CONTEXT_LEN, min_bytes=1)
+    found = stored_requests(spark, f"{folder}/split=holdout", CONTEXT_LEN)
     return _lines(
         batch_score(
             found.select("request_id", "context"), last_value_scorer(HORIZON, QUANTILES), SCORED

@@ -107,11 +107,6 @@ def first_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(small_enough(images, PAGE_BYTES, limit=21, key="url"))
 
 
-def binary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    images = small_enough(read_images(spark, sf_dir, "*.parquet"))
-    return images.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length")
-
-
 def binary_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts as files in a folder per source, read back as bytes."""
     folder = new_folder(spark, "texts")
@@ -146,14 +141,10 @@ def _event_folder(spark: SparkSession, sf_dir: str) -> str:
 
 
 def file_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the usable files; the nearly empty file would add a row of NULLs."""
+    """Rows of all JSON files, however short; the empty record of the last one is no event."""
     folder = _event_folder(spark, sf_dir)
-    return (
-        spark.read.schema("event_id long, event_type string, value double")
-        .option("pathGlobFilter", "*.json")
-        .json(folder)
-        .where(F.col("_metadata.file_size") > fixed.MIN_HOLDOUT_FILE_BYTES)
-    )
+    rows = spark.read.schema("event_id long, event_type string, value double")
+    return rows.option("pathGlobFilter", "*.json").json(folder).where("event_id IS NOT NULL")
 
 
 def file_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +171,6 @@ QUERIES = {
     "standardize_time": standardized,
     "image_filter": image_filter,
     "first_images": first_images,
-    "binary_scan": binary_scan,
     "binary_lengths": binary_lengths,
     "rejected_rows": unreadable_times,
     "file_select": file_select,

@@ -31,6 +31,8 @@ def extension(name: Column) -> Column:
 def instrument_of(path: Column) -> Column:
     """SRC2: instrument from a file or folder called `{instrument}_1m.csv`.
 
-    A suffix after `_1m`, as in `{instrument}_1m_partial.csv`, is allowed.
+    A suffix after `_1m`, as in `{instrument}_1m_partial.csv`, is allowed. Spark gives paths with
+    percent signs for what a URI may not hold; they are decoded, and a plus stays one.
     """
-    return F.regexp_extract(path, r"([^/=]+?)_1m(?:_[^/]*)?\.csv", 1)
+    plain = F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_extract(F.coalesce(plain, path), r"([^/=]+?)_1m(?:_[^/]*)?\.csv", 1)

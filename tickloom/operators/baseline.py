@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.arrays import let
 
-# A fitted table is broadcast up to this many rows, and joined plainly beyond.
-BROADCAST_ROWS = 1_000_000
-
-
 def fit_changes(windows: DataFrame, context_len: int) -> DataFrame:
     """Mean and deviation of the change by (column_id, instrument_id, step); steps count from 1.
 
@@ -43,19 +39,14 @@ def predict_quantiles(
     requests: DataFrame,
     fitted: DataFrame,
     quantiles: Sequence[str],
-    kinds: int,
-    horizon: int,
 ) -> DataFrame:
     """Requests with `quantiles`, a map from quantile text to one value per step.
 
-    `kinds` times `horizon` is the number of fitted rows, known from the configuration; it decides
-    whether the fitted table is broadcast. A kind that was never fitted gets no prediction.
+    A kind that was never fitted gets no prediction. How the two are joined is left to Spark.
     """
     by_kind = fitted.groupBy("column_id", "instrument_id").agg(
         F.sort_array(F.collect_list(F.struct("step", "mu", "sigma"))).alias("_fit")
     )
-    if kinds * horizon <= BROADCAST_ROWS:
-        by_kind = F.broadcast(by_kind)
     joined = requests.join(by_kind, ["column_id", "instrument_id"])
     lines = [part for q in quantiles for part in (F.lit(q), _line(NormalDist().inv_cdf(float(q))))]
     return joined.withColumn("quantiles", F.create_map(*lines)).drop("_fit")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,16 +10,13 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import fixed
 
-# A list given in Python code is broadcast up to this many entries, and joined plainly beyond.
-BROADCAST_ENTRIES = 100_000
-
-
 def id_lookup(spark: SparkSession, names: Sequence[str], kind: str) -> DataFrame:
-    """Frame (`{kind}_id`, `{kind}`) from a list; the id is the position in the list."""
-    if len(names) > BROADCAST_ENTRIES:
-        return spark.createDataFrame(list(enumerate(names)), f"{kind}_id int, {kind} string")
-    listed = F.posexplode(F.array(*[F.lit(n) for n in names]))
-    return F.broadcast(spark.range(0, 1, 1, 1).select(listed.alias(f"{kind}_id", kind)))
+    """Frame (`{kind}_id`, `{kind}`) from a list; the id is the position in the list.
+
+    The list is one literal, so a long one does not make a large plan; the join is left to Spark.
+    """
+    listed = F.posexplode(F.from_json(F.lit(json.dumps(list(names))), "array<string>"))
+    return spark.range(0, 1, 1, 1).select(listed.alias(f"{kind}_id", kind))
 
 
 def series_title(instrument: Column, column: Column, start: Column) -> Column:

@@ -27,8 +27,11 @@ def match_detections(
     """Right detections: image_id, truth_index, det_index, score, iou.
 
     `truths` has image_id, truth_index and a box; `detections` has image_id, det_index, score and a
-    box. Boxes are left, top, width, height in whole pixels; empty boxes match nothing.
+    box. Boxes are left, top, width, height in whole pixels; empty boxes match nothing. The
+    threshold lies above 0 and is 1 at most.
     """
+    if not 0 < threshold <= 1:
+        raise ValueError(f"threshold {threshold} is not above 0 and up to 1")
     # Of equal boxes only one can matter: the first truth, and the best detection.
     lowest = F.min("truth_index").alias("truth_index")
     one_truth = _solid(truths).groupBy("image_id", *_BOX).agg(lowest)
@@ -79,9 +82,14 @@ def match_detections(
 
 
 def precision_recall(truths: DataFrame, detections: DataFrame, matches: DataFrame) -> DataFrame:
-    """One row: counts, precision and recall; NULL where there is nothing to divide by."""
+    """One row: counts, precision and recall; NULL where there is nothing to divide by.
+
+    A row without a box, kept for an image that has none, is no truth and no detection.
+    """
     parts = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("kind"), "n")
+        df.agg(F.count(F.col("width") if "width" in df.columns else F.lit(1)).alias("n")).select(
+            F.lit(name).alias("kind"), "n"
+        )
         for name, df in (("truth", truths), ("det", detections), ("match", matches))
     ]
     counts = parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -106,7 +107,7 @@ def _cut(
     tied = df.where(head == edge.prefix)
     if by_content:
         return clear.unionByName(_share_copies(tied, edge.taken, sides))
-    content = row_hash(sides.seed, F.to_json(F.struct("*")))
+    content = _content(tied, sides.seed)
     inner = _find_edge(tied.select(content.alias("_h")), lambda _: edge.taken)
     return clear.unionByName(_cut(tied, content, inner, sides, by_content=True))
 
@@ -155,7 +156,7 @@ def _share_copies(df: DataFrame, taken: int, sides: _Sides) -> DataFrame:
     the writing depends on which task held which copy.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    folded = df.groupBy(F.to_json(whole).alias("_json")).agg(
+    folded = df.groupBy(_content(df, sides.seed).alias("_content")).agg(
         F.first(whole).alias("_row"), F.count(F.lit(1)).alias("_n")
     )
     pieces = folded.select(
@@ -170,6 +171,16 @@ def _share_copies(df: DataFrame, taken: int, sides: _Sides) -> DataFrame:
     )
 
 
+def _content(df: DataFrame, seed: int) -> Column:
+    """Hash of a whole row by its typed values: text leaves out digits of times, so two typed hashes
+    are added to it. Maps and variants, which Spark does not hash, count by their text."""
+    typed = [
+        F.col(f"`{f.name}`") for f in df.schema.fields if not re.search("map|variant", f.dataType.simpleString())
+    ]
+    hashes = [F.xxhash64(*typed), F.xxhash64(F.lit(1), *typed)] if typed else []
+    return row_hash(seed, F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}), *hashes)
+
+
 def split_counts(split: DataFrame, column: str = "split") -> DataFrame:
     """AGG6: rows per side."""
     return split.groupBy(column).agg(F.count(F.lit(1)).alias("n"))

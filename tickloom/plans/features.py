@@ -98,7 +98,7 @@ def _oldest_per_split(series: DataFrame, limit: int) -> DataFrame:
 
 
 def walk_through_config(instrument: str, **changes) -> FeatureConfig:
-    """JOB2: one instrument, raw closing prices, calendar-year weeks, at most 100 series."""
+    """JOB2: one instrument, raw closing prices, calendar-year weeks, all series."""
     settings = {
         "instruments": (instrument,),
         "columns": ("close",),
@@ -109,7 +109,6 @@ def walk_through_config(instrument: str, **changes) -> FeatureConfig:
         "test_weeks": 8,
         "n_tests": 5,
         "length": 60,
-        "series_limit": 100,
     }
     return FeatureConfig(**{**settings, **changes})
 

@@ -46,10 +46,9 @@ def stored_requests(
     folder: str,
     context_len: int,
     limit: int | None = None,
-    min_bytes: int = fixed.MIN_HOLDOUT_FILE_BYTES,
 ) -> DataFrame:
-    """SRC5, SRC6, ARR3, LIM2: requests from the usable JSON files of a holdout folder."""
-    rows = with_request_id(read_feature_rows(spark, folder, min_bytes))
+    """SRC5, ARR3, LIM2: requests from all JSON files of a holdout folder, however short."""
+    rows = with_request_id(read_feature_rows(spark, folder))
     return context_split(rows, context_len, limit=limit)
 
 
@@ -76,13 +75,7 @@ def baseline_forecasts(
     """REA2: holdout requests with predicted quantiles."""
     cfg = find_cutoffs(listed_bars(bars, cfg), cfg)
     fitted = fit_changes(training_windows(bars, cfg), context_len)
-    return predict_quantiles(
-        holdout_requests(bars, cfg, context_len),
-        fitted,
-        quantiles,
-        kinds=len(cfg.instruments) * len(cfg.columns),
-        horizon=cfg.length - context_len,
-    )
+    return predict_quantiles(holdout_requests(bars, cfg, context_len), fitted, quantiles)
 
 
 def compare_forecasts(

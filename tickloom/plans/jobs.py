@@ -27,7 +27,7 @@ def feature_job(
 ) -> None:
     """JOB1: bar files of all instruments to the folders split=train, split=test, split=holdout."""
     features = build_features(read_bars(spark, bar_paths), cfg)
-    write_features(features, out, ROW_KEY, cfg.seed, fmt=fmt)
+    write_features(features, out, ROW_KEY, cfg.seed, fmt=fmt, all_splits=True)
 
 
 def manifest_job(
@@ -39,7 +39,7 @@ def manifest_job(
     seed: int = 42,
 ) -> DataFrame:
     """JOB3: one manifest to a training and a validation manifest; gives the lines of each."""
-    write_split(split_manifest(read_lines(spark, manifest), root, fraction, seed), out)
+    write_split(split_manifest(read_lines(spark, manifest), root, fraction, seed), out, seed=seed, all_splits=True)
     written = spark.read.schema("value string, split string").text(out)
     return split_counts(written)
 
@@ -52,6 +52,6 @@ def score_job(
     schema: str,
     context_len: int,
 ) -> None:
-    """JOB7: all usable files of a holdout folder to predictions, row by row in the same order."""
+    """JOB7: all rows of a holdout folder to predictions that carry their request id."""
     requests = stored_requests(spark, holdout, context_len)
     write_predictions(batch_score(requests, load_scorer, schema), out)

@@ -19,19 +19,21 @@ def write_features(
     columns: Sequence[str] = ("cat", "start", "target"),
     fmt: str = "json",
     mode: str = "overwrite",
+    all_splits: bool = False,
 ) -> None:
     """SNK1, SNK2, SRT3: rows in random order, one folder per split.
 
     Rows are dealt to tasks by a seeded hash and sorted by it inside each task, after the split.
     That is a full random mix with one shuffle, and no sampling pass over the plan before it as a
     global sort needs. Overwriting replaces only the splits that are written, so a second run does
-    not double rows.
+    not double rows; with `all_splits` it replaces the whole folder, so an earlier split that now
+    has no rows goes too.
     """
     hashed = features.select(
         "split", row_hash(seed, *[F.col(k) for k in keys]).alias("_h"), *columns
     )
     mixed = deal_out(hashed, "_h").sortWithinPartitions("split", "_h").drop("_h")
-    _write_by(mixed, "split", path, fmt, mode)
+    _write_by(mixed, "split", path, fmt, mode, all_splits)
 
 
 def deal_out(df: DataFrame, key: str) -> DataFrame:
@@ -42,10 +44,21 @@ def deal_out(df: DataFrame, key: str) -> DataFrame:
 
 
 def write_split(
-    lines: DataFrame, path: str, column: str = "split", text: str = "line", mode: str = "overwrite"
+    lines: DataFrame,
+    path: str,
+    column: str = "split",
+    text: str = "line",
+    mode: str = "overwrite",
+    seed: int = 42,
+    all_splits: bool = False,
 ) -> None:
-    """SNK3: manifest lines, one folder per side of the split."""
-    _write_by(lines.select(column, text), column, path, "text", mode)
+    """SNK3: manifest lines in random order, one folder per side of the split.
+
+    The order is that of a seeded hash of the line, so one annotator's records do not stay together.
+    """
+    hashed = lines.select(column, text, row_hash(seed, F.col(text)).alias("_h"))
+    mixed = deal_out(hashed, "_h").sortWithinPartitions(column, "_h").drop("_h")
+    _write_by(mixed, column, path, "text", mode, all_splits)
 
 
 def write_predictions(scored: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -57,10 +70,10 @@ def write_predictions(scored: DataFrame, path: str, mode: str = "overwrite") ->
     scored.write.mode(mode).json(path)
 
 
-def _write_by(df: DataFrame, column: str, path: str, fmt: str, mode: str) -> None:
+def _write_by(df: DataFrame, column: str, path: str, fmt: str, mode: str, all_splits: bool) -> None:
     writer = df.write.mode(mode).partitionBy(column).format(fmt)
     if mode == "overwrite":
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer = writer.option("partitionOverwriteMode", "static" if all_splits else "dynamic")
     if fmt == "json":
         writer = writer.option("timestampFormat", fixed.START_PATTERN)
     writer.save(path)

@@ -38,10 +38,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
-def read_feature_rows(spark: SparkSession, path: str, min_bytes: int = 0) -> DataFrame:
-    """SRC5, SRC11: feature rows from JSON lines, files up to `min_bytes` left out."""
-    rows = spark.read.schema(FEATURE_SCHEMA).option("pathGlobFilter", "*.json").json(path)
-    return rows.where(F.col("_metadata.file_size") > min_bytes) if min_bytes else rows
+def read_feature_rows(spark: SparkSession, path: str) -> DataFrame:
+    """SRC5, SRC11: feature rows from all files of JSON lines."""
+    return spark.read.schema(FEATURE_SCHEMA).option("pathGlobFilter", "*.json").json(path)
 
 
 def read_split(spark: SparkSession, path: str, split: str, fmt: str = "json") -> DataFrame:
