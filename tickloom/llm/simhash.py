@@ -124,8 +124,8 @@ def links(fps: DataFrame, radius: int = 2, hot: int = HOT) -> DataFrame:
     a linear one, see `_midpoint_links`, beyond that its tile pairs are dealt out, see `_pair_links`.
     """
     planes = _planes(fps, radius)
-    many = planes.groupBy("plane", "key").agg(F.count("*").alias("n")).where("n > 1")
-    planes = planes.join(many, ["plane", "key"])
+    sizes = planes.groupBy("plane", "key").agg(F.count("*").alias("n")).where(F.col("n") > hot)
+    planes = planes.join(sizes, ["plane", "key"], "left")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,13 +133,13 @@ def links(fps: DataFrame, radius: int = 2, hot: int = HOT) -> DataFrame:
             yield rows_of(schema, a, b)
 
     tiled = (
-        planes.where(F.col("n") <= hot)
+        planes.where("n IS NULL")
         .select("plane", "key", "fp")
         .repartition("plane", "key")
         .sortWithinPartitions("plane", "key", F.bit_count("fp"), "fp")
         .mapInArrow(tiles, "a long, b long")
     )
-    crowded = planes.where(F.col("n") > hot)
+    crowded = planes.where("n IS NOT NULL")
     if radius <= 3:
         return tiled.union(_midpoint_links(crowded.select("fp").distinct(), radius))
     return tiled.union(_pair_links(crowded, radius, hot))
