@@ -102,4 +102,58 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_suffix": op10_suffix,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+            FROM embeddings),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+        r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank"
+            FROM s)
+        SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 20""",
+    "op8_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d,
+                max(page_id) OVER (PARTITION BY coalesce(html, '')) AS m
+            FROM pages)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+            CASE WHEN n >= 1000 AND m <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN n >= 1000 AND m <> page_id THEN m END AS refers_to, true AS intact
+        FROM p""",
+    "op9_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, md5('mix:' || CAST(doc_id AS VARCHAR)) AS mark,
+                len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+            FROM documents),
+        s AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+            FROM d GROUP BY source),
+        k AS (
+            SELECT *, coalesce(sum(2 * source_size) OVER (ORDER BY 2.0 * source_size / w, source NULLS LAST
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,
+                sum(w) OVER (ORDER BY 2.0 * source_size / w, source NULLS LAST
+                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free,
+                CAST(1.5 AS DOUBLE) * CAST((SELECT sum(source_size) FROM s) AS DOUBLE) AS budget
+            FROM s),
+        l AS (
+            SELECT (budget - CAST(held AS DOUBLE)) / CAST(free AS DOUBLE) AS level FROM k
+            WHERE NOT (budget - CAST(held AS DOUBLE)) / CAST(free AS DOUBLE) * w > 2 * source_size
+            ORDER BY 2.0 * source_size / w, source NULLS LAST LIMIT 1),
+        t AS (
+            SELECT source, source_size, budget,
+                CASE WHEN level * w > CAST(2 * source_size AS DOUBLE) THEN CAST(2 * source_size AS DOUBLE) ELSE level * w END AS target
+            FROM k, l),
+        f AS (
+            SELECT d.doc_id, d.size, t.source_size, t.target, t.budget, a.again,
+                CAST(sum(d.size) OVER (PARTITION BY d.source, a.again ORDER BY d.mark, d.doc_id, d.size) + t.source_size * a.again AS DOUBLE)
+                    / t.target AS finish
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source CROSS JOIN (VALUES (0), (1)) a(again)),
+        g AS (SELECT *, sum(size) OVER (ORDER BY finish) <= budget AS within FROM f)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+            CAST(sum(CASE WHEN within THEN size ELSE 0 END) AS BIGINT) AS taken
+        FROM g GROUP BY doc_id, size, source_size, target""",
+}
