@@ -96,3 +96,65 @@ def test_fingerprint_of_ties_and_odd_texts():
 
 def test_empty_table(empty):
     assert simhash.near_duplicates(empty).count() == 0
+    assert simhash.near_copies(empty).count() == 0
+
+
+def wide_fingerprint(text, size=5):
+    """Majority of the different shingles' scrambled hashes, bit by bit in plain integers."""
+
+    def scrambled(z, k):
+        z = (z + (k + 1) * 0x9E3779B97F4A7C15) % 2**64
+        z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+        z = (z ^ z >> 27) * 0x94D049BB133111EB % 2**64
+        return z ^ z >> 31
+
+    words = split_words("".join(c.lower() if c.isascii() else c for c in text or ""))
+    grams = {" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+    out = 0
+    for k in range(4 if grams else 0):
+        hashes = [scrambled(xxhash.xxh64_intdigest(g.encode(), seed=42), k) for g in grams]
+        for b in range(64):
+            n = 2 * sum(h >> b & 1 for h in hashes)
+            out |= (n > len(hashes) or n == len(hashes) and scrambled(0, k) >> b & 1) << 64 * k + b
+    return out
+
+
+@pytest.mark.parametrize("hot", [20_000, 1])
+def test_near_copies_agree_with_all_pairs(docs, corpus, hot):
+    marks = [(i, wide_fingerprint(t)) for i, t, _, _ in corpus]
+    distinct = {f for _, f in marks}
+    keys = simhash.bucket_keys(len(distinct))
+    masks = [sum(1 << int(b) for b in k) for k in keys]
+    linked = [(a, b) for a in distinct for b in distinct if (a ^ b).bit_count() <= 48 and any((a ^ b) & m == 0 for m in masks)]
+    root, least = roots_of_links(distinct, linked), {}
+    for i, f in marks:
+        if i is not None:
+            least[root[f]] = min(least.get(root[f], i), i)
+    want = sorted(((i, least.get(root[f])) for i, f in marks), key=str)
+    assert sorted(((r.id, r.component) for r in simhash.near_copies(docs, hot=hot).collect()), key=str) == want
+
+
+def test_near_copies_are_found_and_others_left_alone(spark):
+    rng = random.Random(5)
+    vocab = [f"v{i}" for i in range(3_000)]
+    shingles = lambda t: {tuple(t[i : i + 5]) for i in range(len(t) - 4)}
+    rows = []
+    for k in range(100):
+        base = [rng.choice(vocab) for _ in range(rng.randint(60, 600))]
+        copy = list(base)
+        while True:
+            changed = list(copy)
+            changed[rng.randrange(len(copy))] = rng.choice(vocab)
+            a, b = shingles(base), shingles(changed)
+            if len(a & b) / len(a | b) < 0.8:
+                break
+            copy = changed
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(copy))]
+    got = {r.id: r.component for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(c in (i, i - i % 2) for i, c in got.items())
+    assert sum(got[2 * k + 1] == 2 * k for k in range(100)) >= 90
+
+
+def test_bucket_keys_follow_the_number_of_texts():
+    few, many = simhash.bucket_keys(0), simhash.bucket_keys(10**9)
+    assert len(few[0]) == 12 and len(few) < len(many) and 2 ** len(many[0]) * 512 >= 10**9
