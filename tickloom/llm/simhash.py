@@ -272,13 +272,14 @@ def _scrambled(values: np.ndarray, k: int) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def wide_fingerprint(text: bytes, size: int = 5) -> np.ndarray:
+def wide_fingerprint(text: bytes, size: int = 5, hashes: np.ndarray | None = None) -> np.ndarray:
     """The 256-bit fingerprint of one text as four words, over its different shingles.
 
     A bit that exactly half of the shingles have takes its value from a fixed pattern, so that short
-    texts are as far apart as others. A text without words gives zeros.
+    texts are as far apart as others. A text without words gives zeros. hashes: those of its different
+    shingles, where they are at hand.
     """
-    hashes = np.unique(_shingle_hashes(text, size))
+    hashes = np.unique(_shingle_hashes(text, size)) if hashes is None else hashes
     out = np.zeros(WIDE, np.uint64)
     for k in range(WIDE if len(hashes) else 0):
         twice = 2 * _bit_counts(_scrambled(hashes, k))
@@ -394,13 +395,18 @@ _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def wide_links(nodes: DataFrame, keys: list[np.ndarray], radius: int = WIDE_RADIUS, hot: int = HOT) -> DataFrame:
-    """(a, b): names that tie together all fingerprints of a bucket that are at most `radius` bits
-    apart, directly or through others.
+    """(a, b): names that tie together all fingerprints under one of the keys that are at most
+    `radius` bits apart, directly or through others."""
+    return links_in_buckets(_bucketed(nodes, keys), radius, hot)
+
+
+def links_in_buckets(placed: DataFrame, radius: int, hot: int = HOT) -> DataFrame:
+    """(a, b): names that tie together all fingerprints of a bucket, rows (key, w0 to w3), that are
+    at most `radius` bits apart, directly or through others.
 
     Each task compares the tiles of its buckets and returns a spanning set of the links it finds. The
     tile pairs of a bucket of more than `hot` fingerprints are dealt out over tasks.
     """
-    placed = _bucketed(nodes, keys)
     large = cut(placed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot))
     split = not large.isEmpty()
     few = placed.join(large, "key", "left_anti") if split else placed
