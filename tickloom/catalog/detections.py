@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.catalog.manifests import BOXES, box_manifest
+from tickloom.catalog.manifests import BOXES, CLASS_COUNT, box_manifest
 from tickloom.catalog.standins import table, tidy
 from tickloom.operators.detections import detection_boxes, with_labels
-from tickloom.operators.manifests import explode_boxes
-from tickloom.operators.matching import match_detections, precision_recall
+from tickloom.operators.manifests import BOX_FIELDS, explode_boxes
+from tickloom.operators.matching import average_precision, match_by_class, match_detections, precision_recall
 from tickloom.plans.overlay import overlay_detections
 
 THRESHOLD = 0.33
 SIZE = 300
+# Overlap that counts for matches by class, and the score of detections that are of no box's class.
+CLASS_THRESHOLD = 0.2
+STRANGE = 1.2
 
 
 def scored_images(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,11 +88,12 @@ def _overlay(limit: int | None):
 
 def _truths_and_detections(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     truths = explode_boxes(
-        box_manifest(spark, sf_dir), F.col("annotations"), "image_id"
+        box_manifest(spark, sf_dir), F.col("annotations"), "image_id", fields=(*BOX_FIELDS, "class_id")
     ).withColumnRenamed("box_index", "truth_index")
     found = boxes(spark, sf_dir).select(
         "image_id",
         "det_index",
+        (F.col("class_id") % CLASS_COUNT).alias("class_id"),
         "score",
         F.col("xmin").alias("left"),
         F.col("ymin").alias("top"),
@@ -111,6 +115,21 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(precision_recall(truths, found, match_detections(truths, found)))
 
 
+def by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(match_by_class(*_truths_and_detections(spark, sf_dir), CLASS_THRESHOLD))
+
+
+def class_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes 0 to 2 of the boxes, and class 3 of detections whose images have no such box."""
+    truths, found = _truths_and_detections(spark, sf_dir)
+    strange = F.when(F.col("score") > STRANGE, CLASS_COUNT).otherwise(F.col("class_id"))
+    # Scores in steps, so that many are equal.
+    found = found.withColumn("class_id", strange).withColumn("score", F.round("score", 1))
+    measured = average_precision(truths, found, match_by_class(truths, found, CLASS_THRESHOLD))
+    rounded = [F.round(c, 6).alias(c) for c in ("average_precision", "mean_average_precision")]
+    return tidy(measured.select("class_id", "n_truths", "n_detections", "n_matches", *rounded))
+
+
 QUERIES = {
     "detection_boxes": pixel_boxes,
     "detection_labels": labelled,
@@ -120,6 +139,8 @@ QUERIES = {
     "iou_match": _match(0.5),
     "iou_match_loose": _match(0.3),
     "precision_recall": quality,
+    "iou_match_by_class": by_class,
+    "average_precision": class_precision,
 }
 
 
@@ -165,6 +186,49 @@ def _matches(threshold: float) -> str:
     """
 
 
+def _by_class(dets: str) -> str:
+    """Detections of an image and class served one after the other, each with the best box still free."""
+    return f"""
+    WITH RECURSIVE {BOXES.strip()}, {DETS.strip()},
+    used AS ({dets}),
+    sides AS (
+        SELECT d.image_id, d.class_id, d.det_index, t.box_index,
+            greatest(least(d.xmin + d.width, t."left" + t.width) - greatest(d.xmin, t."left"), 0) AS w,
+            greatest(least(d.ymin + d.height, t.top + t.height) - greatest(d.ymin, t.top), 0) AS h,
+            d.width * d.height + t.width * t.height AS areas
+        FROM used d JOIN boxes t ON t.image_id = d.image_id AND t.class_id = d.class_id
+        WHERE d.width > 0 AND d.height > 0 AND t.width > 0 AND t.height > 0),
+    shares AS (
+        SELECT *, CAST(w * h AS DOUBLE) / CAST(areas - w * h AS DOUBLE) AS iou FROM sides),
+    wishes AS (
+        SELECT image_id, class_id, det_index,
+            list({{'box': box_index, 'iou': iou}} ORDER BY iou DESC, box_index) AS wanted
+        FROM shares WHERE iou >= {CLASS_THRESHOLD} GROUP BY 1, 2, 3),
+    turns AS (
+        SELECT u.image_id, u.class_id, u.det_index, u.score, coalesce(w.wanted, []) AS wanted,
+            row_number() OVER (PARTITION BY u.image_id, u.class_id ORDER BY u.score DESC, u.det_index) AS k
+        FROM used u LEFT JOIN wishes w USING (image_id, class_id, det_index)),
+    served AS (
+        SELECT image_id, class_id, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS taken,
+            CAST(NULL AS BIGINT) AS det_index, CAST(NULL AS DOUBLE) AS score, CAST(NULL AS STRUCT(box BIGINT, iou DOUBLE)) AS got
+        FROM (SELECT DISTINCT image_id, class_id FROM turns)
+        UNION ALL
+        SELECT image_id, class_id, k, CASE WHEN got IS NULL THEN taken ELSE list_append(taken, got.box) END, det_index, score, got
+        FROM (
+            SELECT t.image_id, t.class_id, t.k, s.taken, t.det_index, t.score,
+                list_filter(t.wanted, lambda x: NOT list_contains(s.taken, x.box))[1] AS got
+            FROM served s JOIN turns t ON t.image_id = s.image_id AND t.class_id = s.class_id AND t.k = s.k + 1)),
+    matches AS (
+        SELECT image_id, class_id, got.box AS truth_index, det_index, score, got.iou AS iou FROM served WHERE got IS NOT NULL)
+    """
+
+
+_ROUGH = f"""
+    SELECT image_id, det_index, CASE WHEN score > {STRANGE} THEN {CLASS_COUNT} ELSE class_id % {CLASS_COUNT} END AS class_id,
+        round(score, 1) AS score, xmin, ymin, width, height
+    FROM dets"""
+
+
 def _overlay_sql(images: str) -> str:
     return f"""
         WITH {BOXES.strip()}, {DETS.strip()},
@@ -202,4 +266,29 @@ ORACLES = {
             (SELECT count(*) FROM matches) AS n_matches,
             (SELECT count(*) FROM matches) / (SELECT count(*) FROM dets)::DOUBLE AS precision,
             (SELECT count(*) FROM matches) / (SELECT count(*) FROM boxes)::DOUBLE AS recall""",
+    "iou_match_by_class": f"""
+        {_by_class(f"SELECT * REPLACE (class_id % {CLASS_COUNT} AS class_id) FROM dets")}
+        SELECT * FROM matches""",
+    "average_precision": f"""
+        {_by_class(_ROUGH)},
+        steps AS (
+            SELECT u.class_id, u.score, count(*) AS n, count(m.det_index) AS n_right
+            FROM used u LEFT JOIN matches m USING (image_id, class_id, det_index) GROUP BY 1, 2),
+        curve AS (
+            SELECT *, CAST(sum(n_right) OVER up_to AS DOUBLE) / CAST(sum(n) OVER up_to AS DOUBLE) AS precision FROM steps
+            WINDOW up_to AS (PARTITION BY class_id ORDER BY score DESC)),
+        envelope AS (
+            SELECT *, max(precision) OVER (PARTITION BY class_id ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best
+            FROM curve),
+        areas AS (
+            SELECT class_id, CAST(sum(n) AS BIGINT) AS n_detections, CAST(sum(n_right) AS BIGINT) AS n_matches, sum(n_right * best) AS area
+            FROM envelope GROUP BY 1),
+        truths AS (SELECT class_id, count(*) AS n_truths FROM boxes GROUP BY 1),
+        classes AS (
+            SELECT class_id, coalesce(n_truths, 0) AS n_truths, coalesce(n_detections, 0) AS n_detections,
+                coalesce(n_matches, 0) AS n_matches, coalesce(area, 0) / n_truths AS ap
+            FROM truths FULL JOIN areas USING (class_id))
+        SELECT class_id, n_truths, n_detections, n_matches, round(ap, 6) AS average_precision,
+            round(avg(ap) OVER (), 6) AS mean_average_precision
+        FROM classes""",
 }

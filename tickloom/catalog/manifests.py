@@ -25,6 +25,8 @@ from tickloom.sources.files import read_lines, read_manifest
 ROOT = "store/lab"
 LABEL = "all-labels"
 SEED = 42
+# Boxes and detections of the given vectors are of so many classes.
+CLASS_COUNT = 3
 
 
 def document_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,6 +151,7 @@ def box_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.abs(number(g, 1)).alias("top"),
             F.abs(number(g, 2)).alias("width"),
             F.abs(number(g, 3)).alias("height"),
+            (F.floor(F.abs(number(g, 0)) / 10) % CLASS_COUNT).alias("class_id"),
         ),
     )
     return vectors.select(F.col("vec_id").alias("image_id"), boxes.alias("annotations"))
@@ -195,13 +198,14 @@ QUERIES = {
     "manifest_files": manifest_files,
 }
 
-BOXES = """
+BOXES = f"""
 boxes AS (
     SELECT vec_id AS image_id, g AS box_index,
         CAST(trunc(abs(CAST(embedding[4 * g + 1] AS DOUBLE) * 300)) AS BIGINT) AS "left",
         CAST(trunc(abs(CAST(embedding[4 * g + 2] AS DOUBLE) * 300)) AS BIGINT) AS top,
         CAST(trunc(abs(CAST(embedding[4 * g + 3] AS DOUBLE) * 300)) AS BIGINT) AS width,
-        CAST(trunc(abs(CAST(embedding[4 * g + 4] AS DOUBLE) * 300)) AS BIGINT) AS height
+        CAST(trunc(abs(CAST(embedding[4 * g + 4] AS DOUBLE) * 300)) AS BIGINT) AS height,
+        CAST(floor(abs(CAST(embedding[4 * g + 1] AS DOUBLE) * 300) / 10) AS BIGINT) % {CLASS_COUNT} AS class_id
     FROM (SELECT *, unnest(range(0, len(embedding) // 4)) AS g FROM embeddings))"""
 
 
@@ -240,7 +244,7 @@ ORACLES = {
     "annotated_only": """
         SELECT d.doc_id, 'raw/images/' || source || '/images/' || d.doc_id AS source_ref
         FROM documents d JOIN labels l ON l.doc_id = d.doc_id""",
-    "bbox_explode": f"WITH {BOXES.strip()} SELECT * FROM boxes",
+    "bbox_explode": f"WITH {BOXES.strip()} SELECT * EXCLUDE (class_id) FROM boxes",
     "label_boxes": """
         SELECT d.doc_id, CASE WHEN quality IS NOT NULL THEN 0::BIGINT END AS box_index,
             CAST(quality AS BIGINT) AS "left", CAST(toxic AS BIGINT) AS top,

@@ -52,11 +52,16 @@ def int_boxes(annotations: Column) -> Column:
     )
 
 
-def explode_boxes(manifest: DataFrame, annotations: Column, *keys: str) -> DataFrame:
-    """GEN3: one row per box with its position; a record without boxes keeps one empty row."""
+def explode_boxes(
+    manifest: DataFrame, annotations: Column, *keys: str, fields: Sequence[str] = BOX_FIELDS
+) -> DataFrame:
+    """GEN3: one row per box with its position; a record without boxes keeps one empty row.
+
+    `fields` names what is taken of a box, in whole numbers; `class_id` may be among them.
+    """
     return manifest.select(
         *keys, F.posexplode_outer(annotations).alias("box_index", "_a")
-    ).select(*keys, "box_index", *[F.col(f"_a.{f}").cast("int").alias(f) for f in BOX_FIELDS])
+    ).select(*keys, "box_index", *[F.col(f"_a.{f}").cast("int").alias(f) for f in fields])
 
 
 def attach_files(manifest: DataFrame, files: DataFrame, key: str) -> DataFrame:

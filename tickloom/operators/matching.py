@@ -1,6 +1,7 @@
-"""REA3: detections matched with truth boxes by intersection over union.
+"""REA3: detections matched with truth boxes by intersection over union, and how good they are.
 
-Each detection goes to the truth box it overlaps most, if the overlap reaches the threshold; of the
+`match_detections` asks each detection for its best box only; `match_by_class` deals the boxes of a
+class out one to one. In the first each detection goes to the truth box it overlaps most, if the overlap reaches the threshold; of the
 detections that go to one truth box, the one with the highest score is right and the others are not.
 
 Two boxes of an image are compared only where they can reach the threshold. Reaching it needs
@@ -12,11 +13,15 @@ exactly the pairs a comparison of all boxes of an image would find.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import fixed
 from tickloom.functions.boxes import bit_length, iou
+from tickloom.operators.running import in_ranges, later_max, running_sums
+from tickloom.sinks.stage import staged
 
 _BOX = ("left", "top", "width", "height")
 
@@ -30,8 +35,7 @@ def match_detections(
     box. Boxes are left, top, width, height in whole pixels; empty boxes match nothing. The
     threshold lies above 0 and is 1 at most.
     """
-    if not 0 < threshold <= 1:
-        raise ValueError(f"threshold {threshold} is not above 0 and up to 1")
+    _check(threshold)
     # Of equal boxes only one can matter: the first truth, and the best detection.
     lowest = F.min("truth_index").alias("truth_index")
     one_truth = _solid(truths).groupBy("image_id", *_BOX).agg(lowest)
@@ -47,16 +51,9 @@ def match_detections(
             (-F.col("_best._d")).alias("det_index"),
         )
     )
-    pairs = _in_cells(one_det).alias("d").join(
-        _around_cells(one_truth, threshold).alias("t"),
-        ["image_id", "_lx", "_cx", "_ly", "_cy"],
+    reached = _reached(one_truth, one_det, threshold, ["image_id"]).select(
+        "image_id", "d.det_index", "d.score", "t.truth_index", "iou"
     )
-    overlap = iou(
-        {f: F.col(f"d.{f}") for f in _BOX}, {f: F.col(f"t.{f}") for f in _BOX}
-    )
-    reached = pairs.select(
-        "image_id", "d.det_index", "d.score", "t.truth_index", overlap.alias("iou")
-    ).where(F.col("iou") >= threshold)
     chosen = (
         reached.groupBy("image_id", "det_index")
         .agg(F.max(F.struct("iou", (-F.col("truth_index")).alias("_t"), "score")).alias("_c"))
@@ -81,6 +78,105 @@ def match_detections(
     )
 
 
+_CLASS = ["image_id", "class_id"]
+
+
+def match_by_class(
+    truths: DataFrame, detections: DataFrame, threshold: float = fixed.IOU_THRESHOLD
+) -> DataFrame:
+    """One-to-one matches: image_id, class_id, truth_index, det_index, score, iou.
+
+    Frames as for `match_detections`, both with a class_id; only boxes of one class match. A
+    detection that loses a box to one of a higher score goes on to its next best box that is free,
+    so the result is that of serving an image's detections by score (ties by det_index), each with
+    the free box it overlaps most (ties by truth_index) among those it overlaps enough. Rows with a
+    null class or score match nothing.
+
+    Found in rounds: every detection asks for the best box left to it, every box holds on to the
+    best that ever asked, and what cannot hold it any more is struck out, until nobody is refused.
+    Equal truth boxes are one box with as many places, so copies do not multiply the pairs.
+    """
+    _check(threshold)
+    places = _solid(truths).groupBy(*_CLASS, *_BOX).agg(
+        F.count(F.lit(1)).alias("places"), F.min("truth_index").alias("box")
+    )
+    usable = _solid(detections).where(F.col("score").isNotNull())
+    pairs = _reached(places, usable, threshold, _CLASS).select(
+        *_CLASS, "t.box", "t.places", "d.det_index", "d.score", "iou"
+    )
+    left = staged(pairs, "pairs")
+    most = left.agg(F.max("places")).first()[0] or 0
+    by_score = Window.partitionBy(*_CLASS, "box").orderBy(F.desc("score"), "det_index")
+    rank = F.struct("score", -F.col("det_index"))
+    n_left = left.count()
+    while True:
+        best = left.groupBy(*_CLASS, "det_index").agg(
+            F.max(F.struct("iou", (-F.col("box")).alias("_b"), "places", "score")).alias("_c")
+        )
+        asked = best.select(
+            *_CLASS, "det_index", (-F.col("_c._b")).alias("box"), "_c.places", "_c.score", "_c.iou"
+        )
+        # Spark keeps `most` rows of a box in each task before it moves any.
+        held = asked.withColumn("place", F.row_number().over(by_score)).where(
+            (F.col("place") <= most) & (F.col("place") <= F.col("places"))
+        )
+        full = held.where(F.col("place") == F.col("places")).select(*_CLASS, "box", rank.alias("_last"))
+        able = left.join(full, [*_CLASS, "box"], "left").where(
+            F.col("_last").isNull() | (rank >= F.col("_last"))
+        )
+        able = staged(able.drop("_last"), "pairs")
+        n_able = able.count()
+        if n_able == n_left:
+            break
+        left, n_left = able, n_able
+    by_index = Window.partitionBy(*_CLASS, *_BOX).orderBy("truth_index")
+    named = _solid(truths).select(
+        *_CLASS,
+        "truth_index",
+        F.row_number().over(by_index).alias("place"),
+        F.min("truth_index").over(Window.partitionBy(*_CLASS, *_BOX)).alias("box"),
+    )
+    return held.join(named, [*_CLASS, "box", "place"]).select(
+        *_CLASS, "truth_index", "det_index", "score", "iou"
+    )
+
+
+def average_precision(truths: DataFrame, detections: DataFrame, matches: DataFrame) -> DataFrame:
+    """One row per class: n_truths, n_detections, n_matches, average_precision, mean_average_precision.
+
+    `matches` as from `match_by_class`. Detections are taken by falling score, those of one score
+    together; precision at a recall is the greatest reached at that recall or beyond, and its mean
+    over the recalls, a class's truths giving the steps, is the average precision. A class without
+    detections has 0; one without truths has NULL and does not count in the mean. Boxes without a
+    class are of none and are left out.
+    """
+    truths, detections = (df.where(F.col("width").isNotNull() & F.col("class_id").isNotNull()) for df in (truths, detections))
+    found = detections.where(F.col("score").isNotNull())
+    right = matches.select(*_CLASS, "det_index", F.lit(1).alias("_right"))
+    scored = found.join(right, [*_CLASS, "det_index"], "left").groupBy("class_id", "score").agg(
+        F.count(F.lit(1)).alias("n"), F.count("_right").alias("n_right")
+    )
+    order = [F.desc("score")]
+    ranged = in_ranges(scored, ["class_id"], order)
+    counted = running_sums(ranged, ["class_id"], order, {"_n": "n", "_right": "n_right"})
+    curve = counted.withColumn("precision", F.col("_right") / F.col("_n"))
+    reached = later_max(curve, ["class_id"], order, "precision", "envelope")
+    by_class = reached.groupBy("class_id").agg(
+        F.sum("n").alias("n_detections"),
+        F.sum("n_right").alias("n_matches"),
+        F.sum(F.col("n_right") * F.col("envelope")).alias("_area"),
+    )
+    there = truths.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_truths"))
+    zero = F.lit(0).cast("long")
+    classes = there.join(by_class, "class_id", "full").select(
+        "class_id",
+        *[F.coalesce(n, zero).alias(n) for n in ("n_truths", "n_detections", "n_matches")],
+        F.try_divide(F.coalesce("_area", F.lit(0.0)), F.coalesce("n_truths", zero)).alias("average_precision"),
+    )
+    classes = staged(classes, "classes")
+    return classes.withColumn("mean_average_precision", classes.agg(F.avg("average_precision")).scalar())
+
+
 def precision_recall(truths: DataFrame, detections: DataFrame, matches: DataFrame) -> DataFrame:
     """One row: counts, precision and recall; NULL where there is nothing to divide by.
 
@@ -106,6 +202,20 @@ def precision_recall(truths: DataFrame, detections: DataFrame, matches: DataFram
     )
 
 
+def _check(threshold: float) -> None:
+    if not 0 < threshold <= 1:
+        raise ValueError(f"threshold {threshold} is not above 0 and up to 1")
+
+
+def _reached(truths: DataFrame, detections: DataFrame, threshold: float, keys: Sequence[str]) -> DataFrame:
+    """Pairs `d`, `t` with equal keys whose overlap `iou` reaches the threshold."""
+    pairs = _in_cells(detections).alias("d").join(
+        _around_cells(truths, threshold).alias("t"), [*keys, "_lx", "_cx", "_ly", "_cy"]
+    )
+    overlap = iou({f: F.col(f"d.{f}") for f in _BOX}, {f: F.col(f"t.{f}") for f in _BOX})
+    return pairs.withColumn("iou", overlap).where(F.col("iou") >= threshold)
+
+
 def _solid(boxes: DataFrame) -> DataFrame:
     return boxes.where((F.col("width") > 0) & (F.col("height") > 0))
 
