@@ -93,6 +93,19 @@ def document_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def written_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with numbers and spaces that a JSON reader would write otherwise: all but the path stays."""
+    docs = table(spark, sf_dir, "documents")
+    digits = F.concat(F.lit("1" * 48), F.col("doc_id").cast("string"))
+    text = F.substr(F.to_json(F.array("text")), F.lit(2))
+    line = F.concat(
+        F.lit('{"weight" : 1.0, "id":'), digits, F.lit(', "source-ref"\t: "raw\\/images/'), F.col("doc_id").cast("string"),
+        F.lit('", "id": 1e400, "inner":{"source-ref":"raw/images/0"}, "text":['), text, F.lit("}"),
+    )
+    moved = rewrite_lines(docs.select("doc_id", line.alias("line")), ROOT)
+    return moved.select("doc_id", "source_ref", F.expr("substr(line, 1, 230)").alias("head"), F.md5("line").alias("line_md5"))
+
+
 def manifest_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "manifest")
     manifest_lines(spark, sf_dir).write.text(folder)
@@ -187,6 +200,7 @@ def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "manifest_rewrite": page_paths,
     "manifest_lines": document_paths,
+    "manifest_text": written_paths,
     "manifest_attrs": manifest_attrs,
     "manifest_split": split_documents,
     "manifest_split_written": split_lines,
@@ -226,6 +240,12 @@ ORACLES = {
         SELECT '{ROOT}/images/' || d.doc_id AS source_ref, d.doc_id, lang, n_chars,
             md5(text) AS text_md5, quality + 1.5::DOUBLE AS width
         FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
+    "manifest_text": f"""
+        WITH l AS (
+            SELECT doc_id, '{{"weight" : 1.0, "id":{"1" * 48}' || doc_id || ', "source-ref"' || chr(9) || ': "{ROOT}/images/' || doc_id
+                || '", "id": 1e400, "inner":{{"source-ref":"raw/images/0"}}, "text":[' || CAST(to_json(text) AS VARCHAR) || ']}}' AS line
+            FROM documents)
+        SELECT doc_id, '{ROOT}/images/' || doc_id AS source_ref, substr(line, 1, 230) AS head, md5(line) AS line_md5 FROM l""",
     "manifest_attrs": """
         SELECT 'raw/images/' || source || '/images/' || d.doc_id AS source_ref,
             CASE WHEN l.doc_id IS NULL THEN 0::BIGINT ELSE 1::BIGINT END AS n_boxes,

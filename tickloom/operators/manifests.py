@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions.jsontext import value_spans, value_text, with_values
 from tickloom.functions.paths import image_tail, under_root
 
 BOX_FIELDS = ("left", "top", "width", "height")
@@ -20,18 +21,14 @@ def relocate(path: Column, root: str) -> Column:
 def rewrite_lines(lines: DataFrame, root: str) -> DataFrame:
     """SRC4, JSN3: JSON lines with the image path moved to a new root.
 
-    Keys this job knows nothing about, of any type, pass through as variants. Adds `source_ref`,
-    which is NULL for a line that is no JSON object; such a line stays as it is.
+    Only the path is replaced in the text, so keys this job knows nothing about stay as they were
+    written: long numbers, number formats, repeated keys, spaces. Adds `source_ref`, which is NULL
+    for a line that is no JSON object or has no path; such a line stays as it is. Of a path given
+    twice the last counts, and both are replaced.
     """
-    # The path is read on its own, so a plan that needs nothing else skips the other keys.
-    path = F.from_json("line", "`source-ref` string")["source-ref"]
-    keys = F.from_json("line", "map<string,variant>")
-    replaced = F.map_concat(
-        F.map_filter(keys, lambda k, _: k != "source-ref"),
-        F.create_map(F.lit("source-ref"), F.col("source_ref").cast("variant")),
-    )
-    moved = lines.withColumn("source_ref", relocate(path, root))
-    return moved.withColumn("line", F.coalesce(F.to_json(replaced), "line"))
+    spotted = lines.withColumn("_spans", value_spans(F.col("line"), "source-ref"))
+    named = spotted.withColumn("source_ref", relocate(value_text(F.col("line"), F.col("_spans")), root))
+    return named.withColumn("line", with_values(F.col("line"), F.col("_spans"), F.col("source_ref"))).drop("_spans")
 
 
 def attributes(manifest: DataFrame, names: Sequence[str]) -> DataFrame:
