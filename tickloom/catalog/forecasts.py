@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.catalog.standins import (
+    BACKOFF_CONFIG,
+    BACKOFF_CONTEXT,
+    BACKOFF_SERIES,
     CONTEXT_LEN,
     LINE_CONFIG,
     LINE_SERIES,
     QUANTILES,
     line_bars,
+    order_bars,
     spread,
     tidy,
 )
@@ -22,15 +26,20 @@ from tickloom.operators.forecasts import context_split, forecast_frame, parse_re
 from tickloom.operators.scoring import batch_score, last_value_scorer
 from tickloom.plans.features import ROW_KEY, build_features
 from tickloom.plans.forecasting import (
+    answered_requests,
+    backoff_forecasts,
     baseline_forecasts,
     compare_forecasts,
     holdout_requests,
+    series_requests,
     stored_requests,
     training_windows,
 )
 from tickloom.session import new_folder
 from tickloom.sinks.write import write_features, write_predictions
 
+# An instrument that was never fitted, and a kind of another one.
+NEVER = ("5-LOW", "1-URGENT", "close")
 HORIZON = LINE_CONFIG.length - CONTEXT_LEN
 BATCH = 30
 SCORED = "request_id string, quantiles map<string,array<double>>"
@@ -158,10 +167,57 @@ def stored_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(compare_forecasts(requests(spark, sf_dir), stored, CONTEXT_LEN))
 
 
+def _rounded(losses: DataFrame) -> DataFrame:
+    return losses.withColumn("wql", F.round("wql", 6)).withColumn("mean_wql", F.round("mean_wql", 6))
+
+
 def loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = baseline_forecasts(line_bars(spark, sf_dir), LINE_CONFIG, CONTEXT_LEN, QUANTILES)
-    found = weighted_quantile_loss(made)
-    return found.withColumn("wql", F.round("wql", 6)).withColumn("mean_wql", F.round("mean_wql", 6))
+    return _rounded(weighted_quantile_loss(made, quantiles=QUANTILES))
+
+
+def _backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts when one instrument and one more kind were never fitted."""
+    known = (F.col("instrument") != NEVER[0]) & ~((F.col("instrument") == NEVER[1]) & (F.col("column") == NEVER[2]))
+    return backoff_forecasts(order_bars(spark, sf_dir), BACKOFF_CONFIG, BACKOFF_CONTEXT, QUANTILES, known)
+
+
+def backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _backoff(spark, sf_dir).select("request_id", "level", F.explode_outer("quantiles").alias("quantile", "values"))
+    return tidy(spread(lines, "request_id", "level", "quantile", values="values")).withColumn("value", F.round("value", 4))
+
+
+def loss_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts one step shorter than what happened, so that a step of each request is not covered."""
+    cut = _backoff(spark, sf_dir).withColumn("quantiles", F.transform_values("quantiles", lambda _, v: F.slice(v, 1, 1)))
+    return _rounded(weighted_quantile_loss(cut, quantiles=QUANTILES, by="level"))
+
+
+def _faulty_responses(asked: DataFrame) -> DataFrame:
+    """Responses by week: some cut off, some without their last answer, some weeks without any; the
+    lows are answered with nothing."""
+    batches = asked.groupBy("week_key").agg(F.sort_array(F.collect_list(F.struct("request_id", "column", "context"))).alias("r"))
+
+    def answer(request):
+        values = F.array(*[F.element_at(request["context"], -1)] * 2)
+        full = F.create_map(*[part for q in QUANTILES for part in (F.lit(q), values)])
+        return F.struct(F.map_filter(full, lambda q, v: request["column"] != "low").alias("quantiles"))
+
+    kept = F.when(F.col("week_key") % 4 == 1, F.slice("r", 1, F.size("r") - 1)).otherwise(F.col("r"))
+    body = F.to_json(F.struct(F.transform(kept, answer).alias("predictions")))
+    cut = F.when(F.col("week_key") % 4 == 0, F.substr(body, F.lit(1), F.length(body) - 5)).otherwise(body)
+    return batches.where("week_key % 4 <> 3").select(F.col("r.request_id").alias("request_ids"), cut.alias("body"))
+
+
+def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each holdout series asked for, with what became of it."""
+    bars = order_bars(spark, sf_dir)
+    asked = series_requests(bars, BACKOFF_CONFIG, BACKOFF_CONTEXT)
+    kinds = training_windows(bars, BACKOFF_CONFIG).where(F.col("instrument") != NEVER[0]).select("column_id", "instrument_id")
+    found = answered_requests(asked, _faulty_responses(asked), BACKOFF_CONTEXT, kinds)
+    return tidy(
+        found.select("request_id", "outcome", "n_answers", F.size(F.coalesce(F.map_keys("quantiles"), F.array())).alias("n_quantiles"))
+    )
 
 
 QUERIES = {
@@ -176,6 +232,9 @@ QUERIES = {
     "forecast_frame": comparison,
     "forecast_frame_stored": stored_comparison,
     "wql": loss,
+    "baseline_backoff": backoff,
+    "wql_by_level": loss_by_level,
+    "request_outcomes": outcomes,
 }
 
 _Z = ", ".join(f"('{q}', {NormalDist().inv_cdf(float(q))!r})" for q in QUANTILES)
@@ -207,6 +266,42 @@ pred AS (
     CROSS JOIN (VALUES {_Z}) q(quantile, z))
 """
 
+_LOSSES = """
+            SELECT quantile, 2 * sum(CASE WHEN q IS NOT NULL THEN t * greatest(z - q, 0) + (1 - t) * greatest(q - z, 0) END)
+                    / sum(CASE WHEN q IS NOT NULL THEN abs(z) END) AS raw,
+                count(*) AS n_steps, count(*) - count(q) AS n_uncovered
+            FROM misses GROUP BY 1"""
+
+_BACKOFF = f"""
+{BACKOFF_SERIES},
+req AS (
+    SELECT '{BACKOFF_CONFIG.seed}:' || w.instrument || ':' || value_column || ':' || week_key || ':' || start_index AS request_id,
+        column_id, instrument_id, pos, delta
+    FROM win w JOIN names n ON n.instrument = w.instrument WHERE split = 'holdout'),
+changes AS (
+    SELECT t.column_id, n.instrument_id, t.pos - {BACKOFF_CONTEXT - 1} AS step, t.delta - c.delta AS d
+    FROM win t
+    JOIN win c ON c.instrument = t.instrument AND c.week_key = t.week_key AND c.column_id = t.column_id
+        AND c.start_index = t.start_index AND c.pos = {BACKOFF_CONTEXT - 1}
+    JOIN names n ON n.instrument = t.instrument
+    WHERE t.split = 'train' AND t.pos >= {BACKOFF_CONTEXT} AND t.instrument <> '{NEVER[0]}'
+        AND NOT (t.instrument = '{NEVER[1]}' AND t.value_column = '{NEVER[2]}')),
+fits AS (
+    SELECT column_id, instrument_id, step, avg(d) AS mu, coalesce(stddev_samp(d), 0) AS sigma
+    FROM changes GROUP BY GROUPING SETS ((column_id, instrument_id, step), (instrument_id, step), (step))),
+chosen AS (
+    SELECT r.request_id, r.delta, s.step,
+        CASE WHEN a.mu IS NOT NULL THEN 'kind' WHEN b.mu IS NOT NULL THEN 'instrument' ELSE 'all' END AS level,
+        coalesce(a.mu, b.mu, c.mu) AS mu, coalesce(a.sigma, b.sigma, c.sigma) AS sigma
+    FROM (SELECT * FROM req WHERE pos = {BACKOFF_CONTEXT - 1}) r CROSS JOIN (SELECT DISTINCT step FROM fits) s
+    LEFT JOIN fits a ON a.column_id = r.column_id AND a.instrument_id = r.instrument_id AND a.step = s.step
+    LEFT JOIN fits b ON b.column_id IS NULL AND b.instrument_id = r.instrument_id AND b.step = s.step
+    LEFT JOIN fits c ON c.column_id IS NULL AND c.instrument_id IS NULL AND c.step = s.step),
+pred AS (
+    SELECT request_id, level, quantile, step - 1 AS pos, delta + mu + sigma * z AS value
+    FROM chosen CROSS JOIN (VALUES {_Z}) q(quantile, z))
+"""
+
 ORACLES = {
     "context_split": f"""
         {REQUESTS}
@@ -261,11 +356,46 @@ ORACLES = {
     "wql": f"""
         {REQUESTS},
         misses AS (
-            SELECT quantile, CAST(quantile AS DOUBLE) AS t, r.delta AS z, p.value AS q
-            FROM pred p JOIN req r ON r.request_id = p.request_id AND r.pos = p.pos + {CONTEXT_LEN}),
-        losses AS (
-            SELECT quantile, 2 * sum(t * greatest(z - q, 0) + (1 - t) * greatest(q - z, 0))
-                / sum(abs(z)) AS wql
-            FROM misses GROUP BY 1)
-        SELECT quantile, round(wql, 6) AS wql, round(avg(wql) OVER (), 6) AS mean_wql FROM losses""",
+            SELECT o.quantile, CAST(o.quantile AS DOUBLE) AS t, r.delta AS z, p.value AS q
+            FROM req r CROSS JOIN (VALUES {_QS}) o(quantile)
+            LEFT JOIN pred p ON p.quantile = o.quantile AND p.request_id = r.request_id AND p.pos = r.pos - {CONTEXT_LEN}
+            WHERE r.pos >= {CONTEXT_LEN}),
+        losses AS ({_LOSSES})
+        SELECT * EXCLUDE (raw), round(raw, 6) AS wql, round(avg(raw) OVER (), 6) AS mean_wql FROM losses""",
+    "baseline_backoff": f"""
+        {_BACKOFF}
+        SELECT request_id, level, quantile, pos, round(value, 4) AS value FROM pred""",
+    "wql_by_level": f"""
+        {_BACKOFF},
+        misses AS (
+            SELECT r.level, o.quantile, CAST(o.quantile AS DOUBLE) AS t, r.delta AS z, p.value AS q
+            FROM (SELECT a.*, l.level FROM req a JOIN (SELECT DISTINCT request_id, level FROM pred) l USING (request_id)) r
+            CROSS JOIN (VALUES {_QS}) o(quantile)
+            LEFT JOIN pred p ON p.quantile = o.quantile AND p.request_id = r.request_id AND p.pos = r.pos - {BACKOFF_CONTEXT} AND p.pos < 1
+            WHERE r.pos >= {BACKOFF_CONTEXT}),
+        losses AS ({_LOSSES.replace("quantile,", "level, quantile,").replace("GROUP BY 1", "GROUP BY 1, 2")})
+        SELECT * EXCLUDE (raw), round(raw, 6) AS wql, round(avg(raw) OVER (PARTITION BY level), 6) AS mean_wql FROM losses""",
+    "request_outcomes": f"""
+        {BACKOFF_SERIES},
+        asked AS (
+            SELECT '{BACKOFF_CONFIG.seed}:' || w.instrument || ':' || value_column || ':' || week_key AS request_id, w.instrument,
+                value_column, week_key, count(*) AS n
+            FROM whole w WHERE split = 'holdout' GROUP BY ALL),
+        kinds AS (
+            SELECT DISTINCT instrument, value_column FROM win WHERE split = 'train' AND instrument <> '{NEVER[0]}'),
+        placed AS (
+            SELECT a.*, k.instrument IS NOT NULL AS fitted,
+                row_number() OVER (PARTITION BY week_key ORDER BY request_id DESC) = 1 AS is_last
+            FROM asked a LEFT JOIN kinds k USING (instrument, value_column)),
+        named AS (
+            SELECT *, CASE WHEN week_key % 4 = 3 THEN 'never sent' WHEN week_key % 4 = 0 THEN 'bad body'
+                WHEN value_column = 'low' OR week_key % 4 = 1 AND is_last THEN 'answer missing' ELSE 'answered' END AS answer
+            FROM placed),
+        judged AS (
+            SELECT *, CASE WHEN n <= {BACKOFF_CONTEXT} THEN 'too short' WHEN answer = 'answered' THEN answer
+                WHEN NOT fitted THEN 'never fitted' ELSE answer END AS outcome
+            FROM named)
+        SELECT request_id, outcome, CAST(answer = 'answered' AS BIGINT) AS n_answers,
+            CASE WHEN outcome = 'answered' THEN CAST({len(QUANTILES)} AS BIGINT) ELSE 0 END AS n_quantiles
+        FROM judged""",
 }

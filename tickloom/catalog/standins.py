@@ -31,6 +31,9 @@ LINE_CONFIG = FeatureConfig(
     scale=0.001,
     scale_overrides={},
 )
+# Windows of order bars whose kinds are partly never fitted.
+BACKOFF_CONFIG = replace(ORDER_CONFIG, n_tests=2, length=4, scale=0.001, scale_overrides={})
+BACKOFF_CONTEXT = 2
 CONTEXT_LEN = 3
 QUANTILES = ("0.1", "0.5", "0.9")
 
@@ -211,6 +214,7 @@ EVENT_CONFIG = FeatureConfig(
     instruments=EVENT_TYPES, test_weeks=1, holdout_weeks=2, n_tests=20, length=60
 )
 EVENT_SERIES = series_sql(MINUTE_BARS, EVENT_CONFIG)
+BACKOFF_SERIES = series_sql(ORDER_BARS, BACKOFF_CONFIG)
 LINE_SERIES = series_sql(LINE_BARS, LINE_CONFIG)
 
 TS_TEXT = "%Y-%m-%d %H:%M:%S"

@@ -72,17 +72,19 @@ def parse_responses(responses: DataFrame, key: str = "request_id") -> DataFrame:
 
 
 def with_predictions(
-    requests: DataFrame, predictions: DataFrame | None, key: str = "request_id"
+    requests: DataFrame, predictions: DataFrame | None, key: str = "request_id", how: str = "inner"
 ) -> DataFrame:
     """JOI1: key, context length, actual course and quantiles of each request, paired by key.
 
+    `how` is "left" where requests without a prediction are to stay, with no quantiles.
+
     Whole rows are paired, before any step is spread out. Requests that were scored in place hold
     their quantiles already and need no join.
     """
     if predictions is None:
         return requests.select(key, "actual", F.size("context").alias("context_len"), "quantiles")
     return requests.select(key, "actual", F.size("context").alias("context_len")).join(
-        predictions.select(key, "quantiles"), key
+        predictions.select(key, "quantiles"), key, how
     )
 
 

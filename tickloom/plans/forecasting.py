@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.config import FeatureConfig
 from tickloom.functions import fixed
 from tickloom.functions.arrays import to_delta
 from tickloom.functions.hashing import key_text
-from tickloom.operators.baseline import fit_changes, predict_quantiles
+from tickloom.operators.baseline import fit_changes, fit_levels, predict_quantiles, predict_with_backoff
 from tickloom.operators.forecasts import context_split, forecast_frame
 from tickloom.operators.lookups import id_lookup
-from tickloom.operators.series import weekly_series
+from tickloom.operators.outcomes import read_answers, request_outcomes
+from tickloom.operators.series import long_series, weekly_series
 from tickloom.operators.splits import Cutoffs, assign_split, bars_of_split, find_cutoffs
 from tickloom.operators.windows import sample_windows
 from tickloom.plans.features import build_features, listed_bars, scale_of
@@ -52,6 +53,44 @@ def stored_requests(
     return context_split(rows, context_len, limit=limit)
 
 
+def series_requests(bars: DataFrame, cfg: FeatureConfig, context_len: int) -> DataFrame:
+    """Whole holdout series as requests, however short: nothing is left out before it is asked for."""
+    listed = listed_bars(bars, cfg)
+    cfg = find_cutoffs(listed, cfg)
+    cut = Cutoffs.of(listed, cfg)
+    late = bars_of_split(listed, cut, "holdout", cfg.week_mode)
+    series = assign_split(weekly_series(late, cfg.week_mode, cfg.columns), cut).where(F.col("split") == "holdout")
+    long = long_series(series, cfg.columns, cfg.nulls).join(
+        id_lookup(bars.sparkSession, cfg.instruments, "instrument"), "instrument"
+    )
+    target = F.col("values") if cfg.scale is None else to_delta(F.col("values"), scale_of(cfg))
+    named = long.select(
+        key_text(cfg.seed, *[F.col(c) for c in ("instrument", "column", "week_key")]).alias("request_id"),
+        "column_id", "instrument_id", "instrument", "column", "week_key", target.alias("target"),
+    )
+    return context_split(named, context_len)
+
+
+def answered_requests(
+    requests: DataFrame, responses: DataFrame, context_len: int, fitted: DataFrame | None = None, key: str = "request_id"
+) -> DataFrame:
+    """JOB4: every request beside the forecast in the responses, or beside what became of it."""
+    return request_outcomes(requests, read_answers(responses, key), context_len, fitted, key)
+
+
+def backoff_forecasts(
+    bars: DataFrame, cfg: FeatureConfig, context_len: int, quantiles: Sequence[str] = fixed.QUANTILES, only: Column | None = None
+) -> DataFrame:
+    """REA2: holdout requests with quantiles from the closest fit there is, and its level.
+
+    `only` picks the training windows that are fitted; None takes all.
+    """
+    cfg = find_cutoffs(listed_bars(bars, cfg), cfg)
+    windows = training_windows(bars, cfg)
+    levels = fit_levels(windows if only is None else windows.where(only), context_len)
+    return predict_with_backoff(holdout_requests(bars, cfg, context_len), levels, quantiles)
+
+
 def training_windows(bars: DataFrame, cfg: FeatureConfig) -> DataFrame:
     """Windows sampled from the training weeks in the way test windows are."""
     listed = listed_bars(bars, cfg)
