@@ -34,9 +34,13 @@ from tickloom.plans.forecasting import (
     series_requests,
     stored_requests,
     training_windows,
+    with_request_id,
 )
+from tickloom.plans.jobs import score_job
 from tickloom.session import new_folder
 from tickloom.sinks.write import write_features, write_predictions
+from tickloom.sources.files import FEATURE_SCHEMA
+from tickloom.sources.lines import FILE, aligned_lines, numbered_lines, placed_lines
 
 # An instrument that was never fitted, and a kind of another one.
 NEVER = ("5-LOW", "1-URGENT", "close")
@@ -123,6 +127,22 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark.read.schema(SCORED).json(folder))
 
 
+def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holdout rows in several files, and line by line what answers them in the written predictions."""
+    folder, out = new_folder(spark, "holdout"), new_folder(spark, "predictions")
+    features = build_features(line_bars(spark, sf_dir), LINE_CONFIG, splits=("holdout",)).repartition(3, "start")
+    write_features(features, folder, ROW_KEY, LINE_CONFIG.seed)
+    score_job(spark, folder, out, last_value_scorer(HORIZON, QUANTILES), SCORED, CONTEXT_LEN)
+    asked = with_request_id(
+        numbered_lines(placed_lines(spark, folder)).withColumn("_r", F.from_json("value", FEATURE_SCHEMA)).select(*FILE, "line", "_r.*")
+    )
+    answered = aligned_lines(spark, out).withColumn("_a", F.from_json("value", SCORED)).select(
+        *FILE, "line", F.col("_a.request_id").alias("answers"), F.col("_a.quantiles").alias("quantiles")
+    )
+    both = asked.join(answered, [*FILE, "line"], "full")
+    return both.select("request_id", "answers", F.get(F.col("quantiles")["0.5"], F.lit(0)).alias("value"))
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions as the JSON bodies a model would answer with, then decoded."""
     rows = requests(spark, sf_dir)
@@ -227,6 +247,7 @@ QUERIES = {
     "request_payload": payloads,
     "response_parse": responses,
     "batch_score": scored,
+    "predictions_aligned": aligned,
     "baseline_fit": fitted,
     "baseline_quantiles": baseline,
     "forecast_frame": comparison,
@@ -333,6 +354,11 @@ ORACLES = {
         {REQUESTS}
         SELECT request_id, quantile, step - 1 AS pos, delta AS value
         FROM last CROSS JOIN steps CROSS JOIN (VALUES {_QS}) q(quantile)""",
+    "predictions_aligned": f"""
+        {REQUESTS}
+        SELECT column_id || ':' || instrument_id || ':' || strftime(start_ts, '%Y-%m-%d %H:%M:%S') AS request_id,
+            column_id || ':' || instrument_id || ':' || strftime(start_ts, '%Y-%m-%d %H:%M:%S') AS answers, delta AS value
+        FROM last""",
     "baseline_fit": f"""
         {REQUESTS}
         SELECT column_id, instrument_id, step, round(mu, 4) AS mu, round(sigma, 4) AS sigma FROM fit""",

@@ -19,7 +19,8 @@ from tickloom.operators.series import long_series, weekly_series
 from tickloom.operators.splits import Cutoffs, assign_split, bars_of_split, find_cutoffs
 from tickloom.operators.windows import sample_windows
 from tickloom.plans.features import build_features, listed_bars, scale_of
-from tickloom.sources.files import read_feature_rows
+from tickloom.sources.files import FEATURE_SCHEMA, read_feature_rows
+from tickloom.sources.lines import PLACE, placed_lines
 
 
 def holdout_requests(bars: DataFrame, cfg: FeatureConfig, context_len: int) -> DataFrame:
@@ -53,6 +54,13 @@ def stored_requests(
     return context_split(rows, context_len, limit=limit)
 
 
+def placed_requests(spark: SparkSession, folder: str, context_len: int) -> DataFrame:
+    """SRC5, SNK4: a request for every line of a holdout folder, with the line's place."""
+    placed = placed_lines(spark, folder)
+    rows = placed.withColumn("_r", F.from_json("value", FEATURE_SCHEMA)).select(*PLACE, "_r.*")
+    return context_split(with_request_id(rows), context_len)
+
+
 def series_requests(bars: DataFrame, cfg: FeatureConfig, context_len: int) -> DataFrame:
     """Whole holdout series as requests, however short: nothing is left out before it is asked for."""
     listed = listed_bars(bars, cfg)

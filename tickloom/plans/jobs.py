@@ -5,17 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.config import FeatureConfig
 from tickloom.functions import fixed
 from tickloom.operators.ordering import split_counts
 from tickloom.operators.scoring import Scorer, batch_score
 from tickloom.plans.features import ROW_KEY, build_features
-from tickloom.plans.forecasting import stored_requests
+from tickloom.plans.forecasting import placed_requests
 from tickloom.plans.manifest import split_manifest
-from tickloom.sinks.write import write_features, write_predictions, write_split
+from tickloom.sinks.write import write_aligned, write_features, write_split
 from tickloom.sources.bars import read_bars
 from tickloom.sources.files import read_lines
+from tickloom.sources.lines import PLACE
 
 
 def feature_job(
@@ -52,6 +54,8 @@ def score_job(
     schema: str,
     context_len: int,
 ) -> None:
-    """JOB7: all rows of a holdout folder to predictions that carry their request id."""
-    requests = stored_requests(spark, holdout, context_len)
-    write_predictions(batch_score(requests, load_scorer, schema), out)
+    """JOB7: all rows of a holdout folder to predictions that carry their request id, line by line in
+    the order of their input files. A line that is no feature row has an empty answer."""
+    requests = placed_requests(spark, holdout, context_len)
+    usable = F.size("context") > 0
+    write_aligned(batch_score(requests, load_scorer, schema, PLACE, usable), out)

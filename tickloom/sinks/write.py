@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import fixed
 from tickloom.functions.hashing import row_hash
+from tickloom.sources.lines import FILE, PLACE
 
 
 def write_features(
@@ -70,6 +71,21 @@ def write_predictions(scored: DataFrame, path: str, mode: str = "overwrite") ->
     scored.write.mode(mode).json(path)
 
 
+def write_aligned(scored: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """SNK4: answers as JSON lines, in the order of the lines they answer.
+
+    `scored` has the place of its input line (`sources.lines.PLACE`) beside the answer. For every
+    input file there is a folder with a file for each piece it was read in, pieces by name in the
+    order of the input, so line k of them together answers line k of the input; `aligned_lines`
+    reads them so. A row without an answer is an empty object. Rows do not move: those of a piece
+    have to be in one task, as the scan puts them.
+    """
+    answers = [F.col(c) for c in scored.columns if c not in PLACE]
+    lines = scored.select(*PLACE, F.to_json(F.struct(*answers)).alias("value"))
+    ordered = lines.sortWithinPartitions(*PLACE).drop("turn")
+    ordered.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*FILE, "piece").text(path)
+
+
 def _write_by(df: DataFrame, column: str, path: str, fmt: str, mode: str, all_splits: bool) -> None:
     writer = df.write.mode(mode).partitionBy(column).format(fmt)
     if mode == "overwrite":
