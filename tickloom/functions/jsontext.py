@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A string, a mark, white space, or anything else up to the next of these. The quantifiers never give
 # back what they took, so long strings need no stack.
-_TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[{}\[\],:]|\s++|[^"{}\[\],:\s]++'
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_TOKEN = _STRING + r"|[{}\[\],:]|\s++|[^\"{}\[\],:\s]++"
 _SPANS = "array<struct<lo: int, hi: int>>"
 
 
@@ -19,6 +21,38 @@ def value_spans(text: Column, key: str) -> Column:
     One entry for each time the key is given, in order; keys of inner objects do not count, and the
     key may be written with escapes. Empty for a text that is no JSON object; NULL for NULL.
     """
+    possible = (text.contains(json.dumps(key)) | text.contains("\\")) & F.json_object_keys(text).isNotNull()
+    none = F.array().cast(_SPANS)
+    return F.when(text.isNull(), F.lit(None)).when(possible, _scanned(text, key)).otherwise(none)
+
+
+def is_plain(text: Column, key: str) -> Column:
+    """Whether the key is spelled out once in the whole text, without escapes, belongs to the outermost
+    object and has a string for its value, in one of the two usual spacings. Then a pattern finds it,
+    and no scan is needed."""
+    if not re.fullmatch(r"[\w-]+", key):
+        return F.lit(False)
+    quoted = json.dumps(key)
+    string = text.contains(f'{quoted}:"') | text.contains(f'{quoted}: "')
+    once = F.substring_index(text, quoted, 2) == text
+    escaped = text.contains("\\u00") & text.rlike(r"\\u00[2-7]")
+    return F.coalesce(string & once & ~escaped & F.array_contains(F.json_object_keys(text), key), F.lit(False))
+
+
+def plain_value_text(text: Column, key: str) -> Column:
+    """`value_text` for texts that are `is_plain`."""
+    return F.from_json(text, f"`{key}` string")[key]
+
+
+def with_plain_value(text: Column, key: str, value: Column) -> Column:
+    """`with_values` for texts that are `is_plain`."""
+    found = "(" + re.escape(json.dumps(key)) + r": ?)" + _STRING
+    literal = F.regexp_replace(_quoted(value), r"([\\$])", r"\\$1")
+    return F.when(value.isNull(), text).otherwise(F.regexp_replace(text, F.lit(found), F.concat(F.lit("$1"), literal)))
+
+
+def _scanned(text: Column, key: str) -> Column:
+    """Spans found by reading the text token by token."""
     tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
 
     def step(s: Column, token: Column) -> Column:
@@ -62,11 +96,7 @@ def value_spans(text: Column, key: str) -> Column:
         F.lit(-1).alias("hi"),
         F.array().cast(_SPANS).alias("spans"),
     )
-    # A text without the key's letters, escapes apart, needs no scan.
-    possible = text.contains(json.dumps(key)) | text.contains("\\")
-    found = F.aggregate(tokens, start, step, lambda s: s["spans"])
-    none = F.array().cast(_SPANS)
-    return F.when(text.isNull(), F.lit(None)).when(possible & F.json_object_keys(text).isNotNull(), found).otherwise(none)
+    return F.aggregate(tokens, start, step, lambda s: s["spans"])
 
 
 def _decoded(token: Column) -> Column:
@@ -75,6 +105,12 @@ def _decoded(token: Column) -> Column:
     return F.when(token.contains("\\"), F.from_json(F.concat(F.lit('{"k":'), token, F.lit("}")), "k string")["k"]).otherwise(bare)
 
 
+def _quoted(value: Column) -> Column:
+    """A text as a JSON string."""
+    listed = F.to_json(F.array(value))
+    return F.substr(listed, F.lit(2), F.length(listed) - 2)
+
+
 def value_text(text: Column, spans: Column) -> Column:
     """The last of the given values as text, if it is a string; readers that meet a key twice mostly
     go by the last. NULL for another value and where there is none."""
@@ -85,8 +121,7 @@ def value_text(text: Column, spans: Column) -> Column:
 
 def with_values(text: Column, spans: Column, value: Column) -> Column:
     """The text with all given values replaced by a string value; unchanged where `value` is NULL."""
-    listed = F.to_json(F.array(value))
-    quoted = F.substr(listed, F.lit(2), F.length(listed) - 2)
+    quoted = _quoted(value)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(s: Column, span: Column) -> Column:

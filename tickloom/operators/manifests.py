@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.jsontext import value_spans, value_text, with_values
+from tickloom.functions.jsontext import is_plain, plain_value_text, value_spans, value_text, with_plain_value, with_values
 from tickloom.functions.paths import image_tail, under_root
 
 BOX_FIELDS = ("left", "top", "width", "height")
@@ -26,9 +26,14 @@ def rewrite_lines(lines: DataFrame, root: str) -> DataFrame:
     for a line that is no JSON object or has no path; such a line stays as it is. Of a path given
     twice the last counts, and both are replaced.
     """
-    spotted = lines.withColumn("_spans", value_spans(F.col("line"), "source-ref"))
-    named = spotted.withColumn("source_ref", relocate(value_text(F.col("line"), F.col("_spans")), root))
-    return named.withColumn("line", with_values(F.col("line"), F.col("_spans"), F.col("source_ref"))).drop("_spans")
+    line, key = F.col("line"), "source-ref"
+    spotted = lines.withColumn("_plain", is_plain(line, key)).withColumn("_spans", F.when(~F.col("_plain"), value_spans(line, key)))
+    path = F.when(F.col("_plain"), plain_value_text(line, key)).otherwise(value_text(line, F.col("_spans")))
+    named = spotted.withColumn("source_ref", relocate(path, root))
+    moved = F.when(F.col("_plain"), with_plain_value(line, key, F.col("source_ref"))).otherwise(
+        with_values(line, F.col("_spans"), F.col("source_ref"))
+    )
+    return named.withColumn("line", moved).drop("_spans", "_plain")
 
 
 def attributes(manifest: DataFrame, names: Sequence[str]) -> DataFrame:
