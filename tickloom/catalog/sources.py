@@ -11,7 +11,7 @@ from tickloom.functions.timekeys import parse_bar_time
 from tickloom.operators.series import features_table, weekly_series
 from tickloom.session import new_folder
 from tickloom.sinks.write import deal_out
-from tickloom.sources.bars import read_bar_files, read_bars, rejected, standardize
+from tickloom.sources.bars import bad_rows, good_rows, judged, read_bar_files, read_bars, rejected, standardize
 from tickloom.sources.files import (
     first_usable_file,
     list_files,
@@ -51,6 +51,36 @@ def csv_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(read_bars(spark, _bar_folder(spark, sf_dir)))
 
 
+def _faulty_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Events as bar files, some with no time, no number, a column too many or one too few."""
+    folder = new_folder(spark, "bars")
+    kind = F.col("event_id") % 10
+    number = F.col("value").cast("string")
+    time = F.when(kind == 1, F.concat(F.lit("at "), "event_id")).otherwise(F.date_format("ts", fixed.BAR_TIME_PATTERN))
+    open_ = F.when(kind.isin(1, 2), F.lit("oops")).when(kind == 3, F.lit("")).otherwise(number)
+    volume = F.when(kind == 4, F.concat(number, F.lit(",7"))).when(kind != 5, number)
+    line = F.concat_ws(",", time, open_, number, number, number, volume)
+    events = table(spark, sf_dir, "events").select(F.concat("event_type", F.lit("_1m.csv")).alias("file"), line.alias("line"))
+    head = spark.sql("SELECT explode(array('click', 'error', 'purchase', 'signup', 'view')) AS t").select(
+        F.concat("t", F.lit("_1m.csv")).alias("file"), F.lit(",".join(fixed.BAR_COLUMNS)).alias("line")
+    )
+    lines = head.withColumn("k", F.lit(0)).unionByName(events.withColumn("k", F.lit(1)))
+    lines.repartition("file").sortWithinPartitions("file", "k").drop("k").write.partitionBy("file").text(folder)
+    return f"{folder}/file=*_1m.csv"
+
+
+def rejected_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of both outputs by instrument: bars, and rejected rows by reason."""
+    rows = judged(read_bar_files(spark, _faulty_folder(spark, sf_dir), keep_corrupt=True))
+    kept = good_rows(rows).groupBy("instrument").agg(
+        F.count(F.lit(1)).alias("n"), F.count("open").alias("n_open"), F.round(F.sum("volume"), 3).alias("volume")
+    )
+    lost = bad_rows(rows).groupBy("instrument", "reason").agg(F.count(F.lit(1)).alias("n"), F.count("line").alias("n_lines"))
+    return kept.withColumn("n_lines", F.lit(None).cast("long")).withColumn("reason", F.lit("")).unionByName(
+        lost.withColumn("n_open", F.lit(None).cast("long")).withColumn("volume", F.lit(None).cast("double"))
+    )
+
+
 def named_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = weekly_series(order_bars(spark, sf_dir))
     register_view(features_table(series), "features")
@@ -164,6 +194,7 @@ def file_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "csv_scan": csv_scan,
     "csv_bars": csv_bars,
+    "rejected_bars": rejected_bars,
     "named_view": named_view,
     "preview": first_orders,
     "preview_by_time": first_bars,
@@ -189,6 +220,16 @@ ORACLES = {
         WITH {ORDER_BARS.strip()}
         SELECT {_CODE} AS instrument, strftime(ts, '{TS_TEXT}') AS ts, open, high, low, close, volume
         FROM bars""",
+    "rejected_bars": """
+        WITH r AS (
+            SELECT *, event_id % 10 AS k, CASE event_id % 10 WHEN 1 THEN 'time' WHEN 2 THEN 'number' WHEN 4 THEN 'columns'
+                WHEN 5 THEN 'columns' ELSE '' END AS reason
+            FROM events)
+        SELECT event_type AS instrument, reason, count(*) AS n,
+            CASE WHEN reason = '' THEN count(*) FILTER (k <> 3) END AS n_open,
+            CASE WHEN reason = '' THEN round(sum(value), 3) END AS volume,
+            CASE WHEN reason <> '' THEN count(*) END AS n_lines
+        FROM r GROUP BY event_type, reason""",
     "named_view": f"""
         WITH {ORDER_BARS.strip()}
         SELECT instrument, isoyear(ts) * 100 + week(ts) AS week_key, count(*) AS n_points,
