@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 import hashlib
 import json
+from collections import Counter
 from dataclasses import replace
 from datetime import datetime, timedelta
 
@@ -15,7 +16,7 @@ from tickloom.config import FeatureConfig, FixedCutoffs
 from tickloom.functions.arrays import to_delta
 from tickloom.functions.sql import register_sql_functions
 from tickloom.operators.lookups import with_titles
-from tickloom.operators.series import features_table, weekly_index, weekly_series
+from tickloom.operators.series import features_table, long_series, weekly_index, weekly_series
 from tickloom.operators.splits import cutoff_frame, find_cutoffs
 from tickloom.operators.windows import sample_windows, too_short
 from tickloom.plans.features import ROW_KEY, build_features, model_rows, walk_through_config
@@ -290,16 +291,36 @@ def test_sql_functions(spark, six_weeks):
     rows = spark.sql(
         """
         SELECT size(tests) AS n, test.ts_start AS at, ts_start,
-            to_delta(test.target, 'usdjpy') AS d, to_delta(array(), 'x') AS e
-        FROM (SELECT ts_start, create_tests(ts_start, close, 5, 100) AS tests FROM features)
+            to_delta(test.target, 'usdjpy') AS d, to_delta(array(), 'x') AS e,
+            to_delta(array(CAST(NULL AS DOUBLE), 2D, 3D), 'x') AS g
+        FROM (SELECT ts_start, create_tests(instrument, ts_start, close, 5, 100) AS tests FROM features)
         LATERAL VIEW explode(tests) t AS test
         """
     ).collect()
     assert len(rows) == 12 * 15 and {r["n"] for r in rows} == {15}
-    assert all(r["d"][:2] == [0.0, 1.25] and r["e"] == [] for r in rows)
+    assert all(r["d"][:2] == [0.0, 1.25] and r["e"] == [] and r["g"] == [None, 0.0, 1000.0] for r in rows)
     assert {(r["at"] - r["ts_start"]).seconds // 60 for r in rows} == set(range(15))
 
 
+def test_table_function_samples_as_the_feature_job_does(spark, six_weeks):
+    cfg = FeatureConfig(instruments=CFG.instruments, n_tests=4, length=5, seed=7, window_start="fixed_step")
+    register_sql_functions(spark, seed=7)
+    long_series(weekly_series(six_weeks), cfg.columns).drop("times").createOrReplaceTempView("series")
+    found = spark.sql(
+        """
+        SELECT s.instrument, s.week_key, s.column_id, s.column, w.start_index, w.ts_start AS start_ts, w.target
+        FROM series s, LATERAL test_windows(concat_ws(':', s.instrument, s.column, s.week_key), s.ts_start, s.values, 5, 4) w
+        """
+    ).collect()
+    want = sample_windows(weekly_series(six_weeks), cfg).collect()
+    assert Counter(map(str, (tuple(r) for r in found))) == Counter(map(str, (tuple(r) for r in want)))
+    picked = {}
+    for r in found:
+        picked.setdefault((r.instrument, r.week_key, r.column), set()).add(r.start_index)
+    # Series of one week, which all start at the same time, are sampled at different places.
+    assert len({frozenset(v) for v in picked.values()}) > len(picked) // 2
+
+
 def test_titles_keep_rows_with_unknown_ids(spark):
     df = spark.createDataFrame([([3, 2], "t"), ([9, 0], "u")], "cat array<int>, start string")
     got = {r["start"]: r["title"] for r in with_titles(df).collect()}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import math
+from collections import Counter
+from hashlib import md5
 from statistics import NormalDist, mean, stdev
 
 import pandas as pd
@@ -42,10 +44,15 @@ def test_first_requests_by_key(holdout):
     assert got == ["r00", "r01"]
 
 
-def test_payloads_hold_every_request_once(holdout):
-    rows = request_payloads(context_split(holdout, 2), quantiles=["0.5"], num_samples=7, batch_size=5).collect()
-    assert sorted(len(r["request_ids"]) for r in rows) == [2, 5, 5]
+@pytest.mark.parametrize("digits", [0, 1, 2])
+def test_payloads_hold_every_request_once(holdout, digits):
+    made = request_payloads(context_split(holdout, 2), quantiles=["0.5"], num_samples=7, batch_size=5, digits=digits)
+    rows = made.collect()
+    buckets = Counter(md5(f"42:r{i:02d}".encode()).hexdigest()[:digits] for i in range(12))
+    want = sorted(n for k in buckets.values() for n in [5] * (k // 5) + [k % 5] * (k % 5 > 0))
+    assert sorted(len(r["request_ids"]) for r in rows) == want
     assert sorted(x for r in rows for x in r["request_ids"]) == [f"r{i:02d}" for i in range(12)]
+    assert len({(r.bucket, r.batch) for r in rows}) == len(rows)
     for r in rows:
         body = json.loads(r["body"])
         assert body["configuration"] == {"num_samples": 7, "output_types": ["quantiles"], "quantiles": ["0.5"]}
@@ -54,6 +61,11 @@ def test_payloads_hold_every_request_once(holdout):
             assert instance == {"cat": [0, i % 2], "start": "2018-01-01 00:00:00", "target": [float(i), i + 1.0]}
 
 
+def test_payloads_need_one_shuffle(holdout):
+    plan = request_payloads(context_split(holdout, 2))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange SinglePartition" not in plan
+
+
 def test_responses_pair_by_position(spark):
     body = json.dumps({"predictions": [{"quantiles": {"0.1": [1.0], "0.9": [2.0, 3.5]}}, {"quantiles": {}}]})
     df = spark.createDataFrame([(["x", "y"], body)], "request_ids array<string>, body string")

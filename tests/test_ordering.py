@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import ordering
 from tickloom.operators.ordering import (
     exact_split,
-    hash_rank,
-    shuffle_rows,
     split_counts,
     union_sets,
 )
+from tickloom.sinks import write
 
 
 def md5(text):
@@ -87,20 +88,28 @@ def test_plan_of_a_split_moves_no_rows(spark):
     assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("n", [0, 1, 500])
-def test_rank_is_the_place_in_hash_order(spark, n):
-    got = {r["id"]: r["rank"] for r in hash_rank(numbers(spark, n), ["id"], 42).collect()}
-    order = sorted(range(n), key=lambda i: (md5(f"42:{i}"), i))
-    assert got == {k: p + 1 for p, k in enumerate(order)}
-
-
-def test_shuffled_rows_are_in_hash_order(spark):
-    got = [r["id"] for r in shuffle_rows(numbers(spark, 300), ["id"], 5).collect()]
-    assert got == sorted(range(300), key=lambda i: md5(f"5:{i}"))
-
-
 def test_union_matches_names_and_skips_missing_sets(spark):
     a, b = spark.sql("SELECT 1 AS x, 2 AS y"), spark.sql("SELECT 4 AS y, 3 AS x")
     assert [tuple(r) for r in union_sets(None, a, None, b, a).collect()] == [(1, 2), (3, 4), (1, 2)]
     with pytest.raises(ValueError):
         union_sets(None)
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_files_in_name_order_are_one_permutation(spark, tmp_path, monkeypatch, parts):
+    monkeypatch.setattr(write, "_COPIES", 40)
+    rows = [(i, f"v{i}", None) for i in range(400)] + [(7, "same", 1.5)] * 300 + [(8, "a", None), (8, "b", None)]
+    df = spark.createDataFrame(rows, "id int, v string, x double")
+    orders = []
+    for n in (5, 2):  # however the rows lie, the files are the same
+        out = tmp_path / str(n)
+        write.write_shuffled(df.repartition(n), str(out), 3, parts, ["id"])
+        names = sorted(f for f in os.listdir(out) if f.startswith("part-"))
+        assert len(names) == parts
+        orders.append([tuple(r.values()) for name in names for r in pq.read_table(out / name).to_pylist()])
+    assert orders[0] == orders[1] and Counter(orders[0]) == Counter(rows) and orders[0] != rows
+    # Copies of one row are all over the table.
+    copies = [k for k, r in enumerate(orders[0]) if r[1] == "same"]
+    assert min(copies) < 40 and max(copies) > len(rows) - 40
+    write.write_shuffled(df.limit(0), str(tmp_path / "none"), 3, parts)
+    assert spark.read.schema(df.schema).parquet(str(tmp_path / "none")).count() == 0

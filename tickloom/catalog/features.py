@@ -30,7 +30,7 @@ from tickloom.functions.arrays import to_delta
 from tickloom.functions.sql import register_sql_functions
 from tickloom.functions.timekeys import WEEK_MODES, week_key
 from tickloom.operators.lookups import with_titles
-from tickloom.operators.ordering import hash_rank, union_sets
+from tickloom.operators.ordering import union_sets
 from tickloom.operators.series import (
     features_table,
     first_series,
@@ -43,7 +43,7 @@ from tickloom.operators.splits import Cutoffs, assign_split, bars_of_split, cuto
 from tickloom.operators.windows import sample_windows, too_short
 from tickloom.plans.features import ROW_KEY, build_features, walk_through_config
 from tickloom.session import new_folder
-from tickloom.sinks.write import write_features
+from tickloom.sinks.write import write_features, write_shuffled
 from tickloom.sources.files import read_split
 
 COLS = ("open", "close", "high", "low", "volume")
@@ -179,7 +179,7 @@ def _gap_lists(nulls: str):
 
 
 def walk_through(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = walk_through_config("3-MEDIUM", length=3, n_tests=2, series_limit=100)
+    cfg = walk_through_config("3-MEDIUM", length=3, n_tests=2)
     return _feature_values(build_features(order_bars(spark, sf_dir), cfg))
 
 
@@ -191,9 +191,19 @@ def united(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(union_sets(None, *sets))
 
 
+SHUFFLE_PARTS = 8
+
+
 def shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    return tidy(hash_rank(orders, ["o_orderkey"], seed=42, rank="shuffle_rank"))
+    """Whole orders written in random order and read back, with their file and place in it."""
+    folder = new_folder(spark, "shuffled")
+    write_shuffled(table(spark, sf_dir, "orders"), folder, 42, SHUFFLE_PARTS, ["o_orderkey"])
+    rows = spark.read.parquet(folder).select(
+        F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("file"),
+        F.col("_metadata.row_index").alias("place"),
+        "*",
+    )
+    return tidy(rows)
 
 
 def oldest_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,29 +211,32 @@ def oldest_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = build_features(order_bars(spark, sf_dir), ORDER_CONFIG, splits=("test",))
+    rows = build_features(order_bars(spark, sf_dir), ORDER_CONFIG)
     named = with_titles(
-        rows.select("cat", "start", "week_key", "start_index"),
+        rows.select("split", "cat", "start", "week_key", "start_index"),
         ORDER_CONFIG.instruments,
         ORDER_CONFIG.columns,
     )
-    return tidy(named.select("title", "column_id", "instrument_id", "week_key", "start_index"))
+    return tidy(named.select("split", "title", "column_id", "instrument_id", "week_key", "start_index"))
 
 
 def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of all series and columns, by table function and by list, raw and as changes."""
     register_sql_functions(spark)
-    features_table(weekly_series(order_bars(spark, sf_dir)), COLS).createOrReplaceTempView("features")
+    long = long_series(weekly_series(order_bars(spark, sf_dir)), ORDER_CONFIG.columns)
+    long.drop("times", "column_id").createOrReplaceTempView("series")
     return tidy(
         spark.sql(
             """
-            SELECT instrument, week_key, start_ts, pos, value
+            SELECT instrument, value_column, week_key, start_index, start_ts, pos, value, listed
             FROM (
-                SELECT instrument, week_key, test.ts_start AS start_ts,
-                    to_delta(test.target, 'usdjpy') AS delta
-                FROM (
-                    SELECT instrument, week_key, create_tests(ts_start, close, 3, 2) AS tests
-                    FROM features)
-                LATERAL VIEW explode(tests) t AS test)
+                SELECT s.instrument, s.column AS value_column, s.week_key, w.start_index, w.ts_start AS start_ts,
+                    to_delta(w.target, 'usdjpy') AS delta,
+                    exists(
+                        create_tests(concat_ws(':', s.instrument, s.column, s.week_key), s.ts_start, s.values, 3, 2),
+                        t -> t = struct(w.start_index, w.ts_start, w.target)) AS listed
+                FROM series s,
+                    LATERAL test_windows(concat_ws(':', s.instrument, s.column, s.week_key), s.ts_start, s.values, 3, 2) w)
             LATERAL VIEW posexplode(delta) v AS pos, value
             """
         )
@@ -236,7 +249,7 @@ def _round_trip(fmt: str):
         features = build_features(order_bars(spark, sf_dir), ORDER_CONFIG)
         for _ in range(2):
             write_features(features, folder, ROW_KEY, ORDER_CONFIG.seed, fmt=fmt)
-        rows = read_split(spark, folder, "train", fmt)
+        rows = union_sets(*[read_split(spark, folder, split, fmt) for split in ("train", "test", "holdout")])
         cats = rows.withColumn("cat_column", F.col("cat")[0]).withColumn(
             "cat_instrument", F.col("cat")[1]
         )
@@ -307,7 +320,10 @@ _STORED = f"""
 {ORDER_SERIES}
 SELECT f.split, strftime(f.start_ts, '{TS_TEXT}') AS start, f.column_id AS cat_column,
     n.instrument_id AS cat_instrument, f.pos, f.delta AS value
-FROM whole f JOIN names n ON n.instrument = f.instrument WHERE f.split = 'train'
+FROM (
+    SELECT * FROM whole WHERE split = 'train'
+    UNION ALL SELECT * FROM win WHERE split IN ('test', 'holdout')) f
+JOIN names n ON n.instrument = f.instrument
 """
 
 ORACLES = {
@@ -399,11 +415,7 @@ ORACLES = {
                 WHEN ts_start < e - INTERVAL 42 DAY THEN 'test'
                 WHEN ts_start < e THEN 'holdout' END AS split
             FROM idx CROSS JOIN cut),
-        kept AS (
-            SELECT * FROM (
-                SELECT *, row_number() OVER (PARTITION BY split ORDER BY ts_start, week_key) AS age
-                FROM ser WHERE split IS NOT NULL)
-            WHERE age <= 100),
+        kept AS (SELECT * FROM ser WHERE split IS NOT NULL),
         starts AS (
             SELECT split, week_key, ts_start, CAST(0 AS BIGINT) AS s, n AS size FROM kept
             WHERE split = 'train'
@@ -424,38 +436,37 @@ ORACLES = {
         {ORDER_SERIES}
         SELECT instrument, week_key, {_text('ts_start')}, n AS n_points, split
         FROM ser WHERE split IS NOT NULL""",
-    "shuffle_rows": """
-        SELECT o_orderkey, row_number() OVER (
-            ORDER BY md5('42:' || o_orderkey), o_orderkey) AS shuffle_rank
-        FROM orders""",
+    "shuffle_rows": f"""
+        WITH h AS (
+            SELECT *, md5('42:' || o_orderkey || ':{{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey
+                || ',"o_orderstatus":"' || o_orderstatus || '","o_totalprice":' || o_totalprice
+                || ',"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000') || '","o_orderpriority":"' || o_orderpriority || '"}}') AS h
+            FROM orders),
+        f AS (SELECT *, CAST(('0x' || substr(h, 1, 8)) AS BIGINT) * {SHUFFLE_PARTS} // 4294967296 AS file FROM h)
+        SELECT * EXCLUDE (h) REPLACE (strftime(o_orderdate, '{TS_TEXT}') AS o_orderdate),
+            row_number() OVER (PARTITION BY file ORDER BY h) - 1 AS place
+        FROM f""",
     "top_n_series": f"""
         {ORDER_SERIES}
         SELECT instrument, week_key, {_text('s.ts_start', 'ts_start')}, n AS n_points
         FROM (SELECT * FROM idx ORDER BY ts_start, instrument, week_key LIMIT 100) s""",
     "title_lookup": f"""
         {ORDER_SERIES}
-        SELECT DISTINCT w.instrument || ' ' || value_column || ' '
+        SELECT w.split, w.instrument || ' ' || value_column || ' '
                 || strftime(start_ts, '{TS_TEXT}') AS title,
             column_id, instrument_id, week_key, start_index
-        FROM win w JOIN names n ON n.instrument = w.instrument WHERE split = 'test'""",
+        FROM (
+            SELECT DISTINCT split, instrument, value_column, column_id, week_key, start_index, start_ts
+            FROM (SELECT * FROM whole WHERE split = 'train' UNION ALL SELECT * FROM win WHERE split IN ('test', 'holdout'))) w
+        JOIN names n ON n.instrument = w.instrument""",
     "sql_functions": f"""
-        {ORDER_SERIES},
-        c AS (SELECT *, unnest(range(0, n - 3)) AS s FROM idx),
-        picked AS (
-            SELECT * FROM (
-                SELECT *, row_number() OVER (
-                    PARTITION BY instrument, week_key
-                    ORDER BY md5('42:' || strftime(ts_start, '{TS_TEXT}') || ':' || s)) AS r
-                FROM c)
-            WHERE r <= 2)
-        SELECT x.instrument, x.week_key,
-            strftime(x.ts_start + to_minutes(x.s), '{TS_TEXT}') AS start_ts,
-            p.pos - x.s AS pos, (p.v - o.v) * 10.0 AS value
-        FROM picked x
-        JOIN pts o ON o.instrument = x.instrument AND o.week_key = x.week_key AND o.pos = x.s
-        JOIN pts p ON p.instrument = x.instrument AND p.week_key = x.week_key
-            AND p.pos BETWEEN x.s AND x.s + 2
-        WHERE o.value_column = 'close' AND p.value_column = 'close'""",
+        {ORDER_SERIES}
+        SELECT w.instrument, w.value_column, w.week_key, w.start_index,
+            strftime(s.ts_start + to_minutes(w.start_index), '{TS_TEXT}') AS start_ts, w.pos, (w.v - o.v) * 10.0 AS value, true AS listed
+        FROM win w
+        JOIN idx s ON s.instrument = w.instrument AND s.week_key = w.week_key
+        JOIN pts o ON o.instrument = w.instrument AND o.week_key = w.week_key AND o.column_id = w.column_id
+            AND o.pos = w.start_index""",
     "parquet_roundtrip": _STORED,
     "json_roundtrip": _STORED,
 }

@@ -18,9 +18,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def to_delta(values: Column, scale: Column | float) -> Column:
-    """MTH1: difference from the first value, times a multiplier; an empty array stays empty."""
+    """MTH1: difference from the first value there is, times a multiplier; missing values stay
+    missing, and an empty array stays empty."""
     factor = scale if isinstance(scale, Column) else F.lit(float(scale))
-    base = F.struct(F.get(values, F.lit(0)).alias("first"), factor.alias("factor"))
+    first = F.coalesce(F.get(values, F.lit(0)), F.get(F.filter(values, lambda x: x.isNotNull()), F.lit(0)))
+    base = F.struct(first.alias("first"), factor.alias("factor"))
     return let(base, lambda b: F.transform(values, lambda x: (x - b["first"]) * b["factor"]))
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import fixed
 from tickloom.functions.arrays import prefix
-from tickloom.operators.ordering import hash_rank
+from tickloom.functions.hashing import row_hash
 
 RESPONSE_SCHEMA = "predictions array<struct<quantiles:map<string,array<double>>>>"
 
@@ -34,17 +34,22 @@ def request_payloads(
     num_samples: int = fixed.NUM_SAMPLES,
     batch_size: int = fixed.MAX_REQUESTS,
     seed: int = 42,
+    digits: int = 2,
 ) -> DataFrame:
-    """JSN1: one JSON body per batch of requests: batch, request_ids, body.
+    """JSN1: one JSON body per batch of requests: bucket, batch, request_ids, body.
 
-    Every request is in exactly one batch of `batch_size`, so a body stays small however many
-    requests there are. Inside a batch the order is that of the rank.
+    Every request is in exactly one batch of at most `batch_size`, so a body stays small however
+    many requests there are. Requests are dealt by the first `digits` hex digits of a seeded hash of
+    their key into buckets, numbered there in the order of the hash and cut into batches: one
+    shuffle. Only the last batch of a bucket may be shorter.
     """
-    ranked = hash_rank(requests, [key], seed)
+    hashed = requests.withColumn("_h", row_hash(seed, F.col(key))).withColumn("bucket", F.substring("_h", 1, digits))
+    number = F.row_number().over(Window.partitionBy("bucket").orderBy("_h", key))
+    ranked = hashed.withColumn("rank", number)
     instance = F.struct("cat", "start", F.col("context").alias("target"))
     batches = (
         ranked.withColumn("batch", F.floor((F.col("rank") - 1) / batch_size))
-        .groupBy("batch")
+        .groupBy("bucket", "batch")
         .agg(F.sort_array(F.collect_list(F.struct("rank", key, instance.alias("instance")))).alias("_r"))
     )
     configuration = F.struct(
@@ -58,7 +63,7 @@ def request_payloads(
             configuration.alias("configuration"),
         )
     )
-    return batches.select("batch", F.col("_r").getField(key).alias("request_ids"), body.alias("body"))
+    return batches.select("bucket", "batch", F.col("_r").getField(key).alias("request_ids"), body.alias("body"))
 
 
 def parse_responses(responses: DataFrame, key: str = "request_id") -> DataFrame:

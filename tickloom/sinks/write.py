@@ -12,6 +12,10 @@ from tickloom.functions.hashing import row_hash
 from tickloom.sources.lines import FILE, PLACE
 
 
+#: Copies of one row that a task writes out.
+_COPIES = 100_000
+
+
 def write_features(
     features: DataFrame,
     path: str,
@@ -62,6 +66,31 @@ def write_split(
     _write_by(mixed, column, path, "text", mode, all_splits)
 
 
+def write_shuffled(
+    df: DataFrame, path: str, seed: int, parts: int, keys: Sequence[str] = (), fmt: str = "parquet", mode: str = "overwrite"
+) -> None:
+    """SRT3: whole rows as `parts` files that are, in the order of their names, one random permutation.
+
+    Each file holds one range of a seeded hash of the keys and the whole row, sorted by it. The hash
+    is uniform, so the ranges are fixed beforehand and no pass samples the rows. A row that occurs
+    more than once is numbered, and its copies go to places of their own.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    content = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    named = df.select(F.struct(*columns).alias("_row"), row_hash(seed, *[F.col(k) for k in keys], content).alias("_c"))
+    # Copies are folded into one row with their number before anything is dealt out.
+    folded = named.groupBy("_c").agg(F.first("_row").alias("_row"), F.count(F.lit(1)).alias("_n"))
+    pieces = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / _COPIES)))
+    several = folded.where("_n > 1").select("_c", "_row", "_n", pieces.alias("_p")).repartition("_c", "_p")
+    low = F.col("_p") * _COPIES
+    copies = F.explode(F.sequence(low, F.least(low + _COPIES, F.col("_n")) - 1))
+    again = several.select("_row", "_c", copies.alias("_i")).select("_row", row_hash(seed, F.col("_c"), F.col("_i")).alias("_h"))
+    dealt = folded.where("_n = 1").select("_row", F.col("_c").alias("_h")).unionByName(again)
+    place = F.floor(F.conv(F.substring("_h", 1, 8), 16, 10).cast("long") * parts / 2**32).cast("int")
+    ordered = dealt.repartitionById(parts, place).sortWithinPartitions("_h")
+    ordered.select("_row.*").write.mode(mode).format(fmt).save(path)
+
+
 def write_predictions(scored: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SNK4: predictions as JSON lines.
 
