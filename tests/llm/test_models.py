@@ -110,3 +110,33 @@ def test_one_class_or_no_labels_give_a_constant(judged, empty, spark):
         model = compression.learn(docs, usable)
         assert len({r.score for r in compression.score(docs, model).collect()}) == 1
     assert compression.score(empty, compression.learn(empty, marks)).count() == 0
+
+
+def test_samples_are_bounded_in_rows_however_often_an_id_repeats(spark):
+    many = [(4, f"text {k} of one id", "en") for k in range(3000)] + [(k, f"some text {k}", "en") for k in range(100, 160)]
+    docs = spark.createDataFrame(many, "doc_id long, text string, lang string").repartition(6)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in [4, 4, *range(100, 160)]], "doc_id long, quality int, toxic int")
+    found = compression.training_sample(docs, labels, 10)
+    rows = found.collect()
+    assert len(rows) <= 20 and len({(r.id, r.label) for r in rows}) == len(rows)
+    spoken = langid.training_sample(docs, 10).collect()
+    assert 0 < len(spoken) <= 10 and len({r.id for r in spoken}) == len(spoken)
+    assert [r.text for r in langid.training_sample(docs.where("doc_id = 4"), 10).collect()] == ["text 0 of one id"]
+
+
+def test_every_language_is_learned_and_shares_the_rows(spark):
+    rows = [(10 * k + j, f"text {k} {j}", f"l{k}") for k in range(300) for j in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.training_sample(docs, rows=600).collect()
+    assert len({r.lang for r in found}) > 290 and len(found) <= 600
+    with pytest.raises(ValueError):
+        langid.training_sample(docs, rows=299)
+
+
+def test_long_texts_are_learned_from_all_over(spark):
+    text = "a" * 5000 + "b" * 5000 + "c" * 5000
+    docs = spark.createDataFrame([(k, text) for k in range(40)], "id long, text string")
+    pieces = [r[0] for r in docs.select(compression.sampled_text(docs.text, docs.id, 1000)).collect()]
+    assert all(len(p) <= 1000 for p in pieces) and {c for p in pieces for c in p} == set("abc\n")
+    short = docs.selectExpr("id", "'short' AS text")
+    assert {r[0] for r in short.select(compression.sampled_text(short.text, short.id, 1000)).collect()} == {"short"}

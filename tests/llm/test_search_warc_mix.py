@@ -18,11 +18,13 @@ from tickloom.session import new_folder
 
 
 def best(rows, k, every):
-    vectors = {(i, tuple(floor(64 * x) for x in v)) for i, v in rows if i is not None and v and all(x is not None and isfinite(x) for x in v)}
+    """Every row against every other row."""
+    vectors = [(i, [floor(64 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and isfinite(x) for x in v)]
     out = []
-    for q, a in sorted(vectors):
+    for n, (q, a) in enumerate(vectors):
         if q % every == 0:
-            found = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in vectors if i != q and len(a) == len(b))
+            scores = [(sum(x * y for x, y in zip(a, b)), i) for m, (i, b) in enumerate(vectors) if m != n and len(a) == len(b)]
+            found = sorted((-min(max(s, -(2**63)), 2**63 - 1), i) for s, i in scores)
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(found[:k])]
     return sorted(out)
 
@@ -34,7 +36,7 @@ def test_search_agrees_with_all_products(spark, query_tile, shard, n):
     if n > 50:
         nan = float("nan")
         rows += [(200, None), (201, [None] * 6), (205, [nan] * 6), (210, [float("inf")] * 6), (215, []), (None, rows[0][1]), (220, [1e6] * 6)]
-        rows += [rows[3]] * 2 + [(230, [0.5] * 3), (231, [0.25] * 3)]
+        rows += [rows[3]] * 2 + [rows[5]] * 3 + [(5, [0.99] * 6), (230, [0.5] * 3), (231, [0.25] * 3)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 AS id", "2 AS v").repartition(3)
     vectors = topk.integer_vectors(df, "vec_id", "embedding", 64)
     got = topk.top_k(vectors, F.col("id") % 5 == 0, 4, query_tile, shard)
@@ -48,6 +50,15 @@ def test_products_beyond_floating_point_are_exact(spark):
     assert [r.id for r in topk.top_k(vectors, F.col("id") == 0, 3).orderBy("rank").collect()] == [1, 2, 3]
 
 
+def test_sums_beyond_a_long_are_held_at_its_ends(spark):
+    rows = [(0, [1e30, 1.0]), (1, [-1e30, 0.0]), (2, [1e30, 5.0]), (3, [2e9, 0.0]), (4, [3.0e8, 1e30]), (5, [0.5, 0.5])]
+    vectors = topk.integer_vectors(spark.createDataFrame(rows, "i long, v array<double>"), "i", "v", 64)
+    held = [(i, [max(-(2**63), min(2**63 - 1, floor(64 * x))) for x in v]) for i, v in rows]
+    want = sorted((-max(-(2**63), min(2**63 - 1, sum(x * y for x, y in zip(held[0][1], v)))), i) for i, v in held[1:])
+    got = topk.top_k(vectors, F.col("id") == 0, 5).orderBy("rank").collect()
+    assert [(-r.score, r.id) for r in got] == want
+
+
 @pytest.fixture
 def pages(spark):
     big = "<p>é</p>\r\n\r\nWARC/1.1\r\n" * 100

@@ -14,10 +14,11 @@ from pyspark.sql import types as T
 
 from tickloom.llm.arrays import rows_of, text_bytes
 
-#: Bounds of the sample the dictionaries and the calibration are fitted on: documents of each
-#: class, and characters of each of them. They bound what reaches the driver (32 MB).
+#: Bounds of the sample the dictionaries and the calibration are fitted on: rows of each class, and
+#: characters of each of them, in pieces. They bound what reaches the driver (32 million characters).
 SAMPLE_DOCS = 2_000
 SAMPLE_CHARS = 8_000
+PIECES = 4
 DICTIONARY_BYTES = 112 << 10
 CHUNK_BYTES = 4 << 10
 LEVEL = 3
@@ -40,12 +41,23 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def sampled_text(text: Column, key: Column, chars: int, pieces: int = PIECES) -> Column:
+    """The whole text up to `chars` characters; of a longer one pieces from places all over it that
+    a hash of the key picks, together about as long."""
+    size = max(1, (chars - pieces + 1) // pieces)
+    spare = F.greatest(F.length(text) - size, F.lit(0)) + 1
+    places = [F.pmod(F.xxhash64(key, F.lit(k)), spare).cast("int") + 1 for k in range(pieces)]
+    taken = F.concat_ws("\n", *[F.substring(text, p, F.lit(size)) for p in places])
+    return F.when(F.length(text) <= chars, text).otherwise(taken)
+
+
 def training_sample(
     docs: DataFrame, labels: DataFrame, docs_per_class: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS
 ) -> DataFrame:
-    """(label, text): up to `docs_per_class` documents of each class outside the held-out part.
+    """(id, label, text): up to `docs_per_class` rows of each class outside the held-out part.
 
-    Ids are picked first, by hash; only their texts are then fetched. Only labels 0 and 1 count.
+    Ids are picked first, by hash; only their texts are then fetched, and of an id that repeats the
+    text that sorts first. Only labels 0 and 1 count.
     """
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     usable = usable.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("label")).distinct()
@@ -54,9 +66,11 @@ def training_sample(
     for label in (0, 1):
         part = usable.where(F.col("label") == label).orderBy(mark, "id").limit(docs_per_class)
         picked = part if picked is None else picked.union(part)
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.substring(F.coalesce("text", F.lit("")), 1, chars).alias("text"))
-    # At most 2 * docs_per_class ids, so their broadcast has a fixed bound.
-    return texts.join(F.broadcast(picked), "id").select("id", "label", "text")
+    whole = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), whole.alias("text"))
+    # At most 2 * docs_per_class ids, so their broadcast has a fixed bound; one row is left of each.
+    found = texts.join(F.broadcast(picked), "id").select("id", "label", sampled_text(F.col("text"), F.col("id"), chars).alias("text"))
+    return found.groupBy("id", "label").agg(F.min("text").alias("text"))
 
 
 def _dictionary(samples: list[bytes]) -> bytes:

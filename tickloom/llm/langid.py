@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.arrays import gram_hashes, rows_of, text_parts
-from tickloom.llm.compression import held_out
+from tickloom.llm.components import cut
+from tickloom.llm.compression import held_out, sampled_text
 
-#: Bounds of the sample the model is fitted on: languages (the most frequent), documents of each,
-#: characters of each document.
-MAX_LANGUAGES = 256
+#: Bounds of the sample the model is fitted on: rows in all, rows of each language, characters of each
+#: row, in pieces. Where there are many languages each gets fewer rows.
+SAMPLE_ROWS = 200_000
 DOCS_PER_LANGUAGE = 800
 SAMPLE_CHARS = 1_500
 
@@ -89,19 +90,35 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def training_sample(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, chars: int = SAMPLE_CHARS) -> DataFrame:
-    """(id, lang, text) of a bounded sample outside the held-out part: the documents of each
-    language whose hashed id is smallest. Rank limits are applied before the shuffle."""
+def training_sample(
+    docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, chars: int = SAMPLE_CHARS, rows: int = SAMPLE_ROWS
+) -> DataFrame:
+    """(id, lang, text) of a bounded sample outside the held-out part: up to `per_language` documents
+    of every language, those whose hashed id is smallest, and `rows` in all.
+
+    Every language is learned; with many of them each gets its share of `rows`. More languages than
+    `rows` are refused. Of an id that repeats in a language the text that sorts first is taken.
+    """
     open_ = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(
-        F.col("doc_id").cast("long").alias("id"), F.col("lang").cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("text")
+        F.col("doc_id").cast("long").alias("id"), F.col("lang").cast("string").alias("lang"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    frequent = open_.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    mark = F.md5(F.concat(F.lit("lang:"), F.col("id").cast("string")))
+    sizes = cut(open_.groupBy("lang").agg(F.approx_count_distinct("id").alias("n")))
+    languages = sizes.count()
+    if languages > rows:
+        raise ValueError(f"{languages} languages, more than the {rows} rows of the sample")
+    most = min(per_language, rows // max(1, languages))
+    # Hashes are uniform: the smallest lie below a bound that a language's size gives, with room for
+    # the estimate's error, so few rows are ranked however large the language is.
+    mark = F.xxhash64(F.lit("lang:"), F.col("id"))
+    share = (F.lit(2.0 * most + 100) / F.col("n")) * 2.0**64 - 2.0**63
+    near = open_.select("id", "lang").join(F.broadcast(sizes), "lang").where(mark.cast("double") <= share)
     order = Window.partitionBy("lang").orderBy(mark, "id")
-    picked = open_.select("id", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language)
-    # Both broadcasts have a fixed bound: MAX_LANGUAGES rows, and that times per_language.
-    picked = picked.join(F.broadcast(frequent.select("lang")), "lang").select("id", "lang").distinct()
-    return open_.select("id", "lang", F.substring("text", 1, chars).alias("text")).join(F.broadcast(picked), ["id", "lang"])
+    picked = near.select("id", "lang").distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= most)
+    # Both broadcasts are bounded by `rows`.
+    found = open_.join(F.broadcast(picked.select("id", "lang")), ["id", "lang"])
+    texts = found.select("id", "lang", sampled_text(F.col("text"), F.col("id"), chars).alias("text"))
+    return texts.groupBy("id", "lang").agg(F.min("text").alias("text"))
 
 
 def fit(sample: DataFrame, rounds: int = 4, rate: float = 0.5, seed: int = 7) -> LanguageModel | None:

@@ -127,13 +127,13 @@ _WORDS = rf"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x
 ORACLES: dict[str, str] = {
     "op6_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
             FROM embeddings),
         s AS (
-            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
-            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+            SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0),
         r AS (
-            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank"
+            SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS "rank"
             FROM s)
         SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 20""",
     "op8_warc": """

@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from tickloom.llm.arrays import rows_of
 from tickloom.llm.components import cut
 
-QUERY_TILE = 1024
+QUERY_TILE = 8192
 SHARD = 8192
 FAN_IN = 8
-_TILE = "tile long, ids binary, vectors binary, width int"
+_TILE = "tile long, ids binary, rows binary, vectors binary, width int"
 
 
 def integer_vectors(rows: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """(id, v): floor(scale * x) of each component as long, each id and vector once.
+    """(id, v): floor(scale * x) of each component as long; repeated rows are rows each.
 
     Left out: null ids and vectors, vectors without components, or with a null or non-finite one.
     Values beyond a long are held at its ends.
@@ -39,29 +39,30 @@ def integer_vectors(rows: DataFrame, id_col: str, vec_col: str, scale: int) -> D
         floor = F.floor(F.when((value > low) & (value < high), value).otherwise(F.lit(0.0))).cast("long")
         return F.when(value >= high, F.lit(2**63 - 1)).when(value <= low, F.lit(-(2**63))).otherwise(floor)
 
-    made = rows.where(usable).select(F.col(id_col).cast("long").alias("id"), F.transform(vec, whole).alias("v"))
-    return made.distinct()
+    return rows.where(usable).select(F.col(id_col).cast("long").alias("id"), F.transform(vec, whole).alias("v"))
 
 
 def _tiles(vectors: DataFrame, size: int) -> DataFrame:
     """Rows packed into tiles of up to `size` vectors of one width."""
-    schema = pa.schema([("tile", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary()), ("width", pa.int32())])
+    schema = pa.schema([("tile", pa.int64()), ("ids", pa.binary()), ("rows", pa.binary()), ("vectors", pa.binary()), ("width", pa.int32())])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[int, tuple[list, list]] = {}
+        waiting: dict[int, tuple[list, list, list]] = {}
 
         def tile(width: int) -> pa.RecordBatch:
-            ids, vecs = waiting.pop(width)
+            ids, rows, vecs = waiting.pop(width)
             return rows_of(
-                schema, [0], [np.array(ids, np.int64).tobytes()], [np.concatenate(vecs).astype(np.int64).tobytes()], [width]
+                schema, [0], [np.array(ids, np.int64).tobytes()], [np.array(rows, np.int64).tobytes()],
+                [np.concatenate(vecs).astype(np.int64).tobytes()], [width],
             )
 
         for batch in batches:
             values = batch.column(1)
-            for k, i in enumerate(batch.column(0).to_pylist()):
+            for k, (i, row) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
                 vec = values[k].values.to_numpy(zero_copy_only=False)
-                ids, vecs = waiting.setdefault(len(vec), ([], []))
+                ids, rows, vecs = waiting.setdefault(len(vec), ([], [], []))
                 ids.append(i)
+                rows.append(row)
                 vecs.append(vec)
                 if len(ids) >= size:
                     yield tile(len(vec))
@@ -83,76 +84,73 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def _product(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact integer products; in floating point where every sum is below 2^53."""
+    """Exact integer products; in floating point where every sum is below 2^53. Sums beyond a long are
+    held at its ends, so none wraps around."""
     reach = float(np.abs(q.astype(np.float64)).max(initial=0)) * float(np.abs(c.astype(np.float64)).max(initial=0)) * q.shape[1]
     if reach < 2.0**53:
         return (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
-    return q @ c.T
+    if reach < 2.0**62:
+        return q @ c.T
+    # As Python integers, of any size.
+    return np.clip(q.astype(object) @ c.T.astype(object), -(2**63), 2**63 - 1).astype(np.int64)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, query_tile: int = QUERY_TILE, shard: int = SHARD) -> DataFrame:
-    """(query_id, rank, id, score): the k best of all other vectors for every query.
+    """(query_id, rank, id, score): the k best of all other rows for every query row.
 
     vectors: (id, v) from `integer_vectors`; is_query says which of them are queries. Tiles of
     queries meet shards of candidates in blocks by an equi-join of their numbers; each block is one
     matrix product and a partial selection. Lists are merged in a tree, FAN_IN shards at a step, so
     no task sees more than FAN_IN * k rows of a query at once. Vectors of other widths than the
-    query's are no candidates. Fewer than k candidates give all of them.
+    query's are no candidates. Fewer than k candidates give all of them. Rows that repeat an id are
+    candidates and queries each, of one another too.
     """
-    vectors = cut(vectors)
+    vectors = cut(vectors.select("id", "v", F.monotonically_increasing_id().alias("row")))
     spark = vectors.sparkSession
     rows = vectors.count()
     parts = max(1, -(-rows // shard))
-    shards = cut(_tiles(vectors.repartition(parts, "id"), shard))
+    shards = cut(_tiles(vectors.repartition(parts, "row").select("id", "v", "row"), shard))
     asked = vectors.where(is_query)
-    tiles = cut(_tiles(asked.repartition(max(1, -(-asked.count() // query_tile)), "id"), query_tile))
+    tiles = cut(_tiles(asked.repartition(max(1, -(-asked.count() // query_tile)), "row").select("id", "v", "row"), query_tile))
     shards, tiles = _numbered(shards), _numbered(tiles)
     n_shards, n_tiles = shards.count(), tiles.count()
     if not n_tiles or not n_shards:
         return spark.createDataFrame([], "query_id long, rank int, id long, score long")
     blocks_q = tiles.select(
-        F.col("tile").alias("t"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q"), F.col("width"),
+        F.col("tile").alias("t"), F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("vectors").alias("q"), F.col("width"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))).alias("s"),
     )
     blocks_c = shards.select(
-        F.col("tile").alias("s"), F.col("ids").alias("c_ids"), F.col("vectors").alias("c"), F.col("width").alias("c_width"),
+        F.col("tile").alias("s"), F.col("ids").alias("c_ids"), F.col("rows").alias("c_rows"), F.col("vectors").alias("c"), F.col("width").alias("c_width"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_tiles - 1).cast("long"))).alias("t"),
     )
     blocks = blocks_q.join(blocks_c.hint("shuffle_hash"), ["t", "s"]).where("width = c_width")
-    kinds = "query_id long, part long, id long, score long"
-    schema = pa.schema([("query_id", pa.int64()), ("part", pa.int64()), ("id", pa.int64()), ("score", pa.int64())])
+    kinds = "query long, query_id long, part long, id long, score long"
+    schema = pa.schema([(c.split()[0], pa.int64()) for c in kinds.split(", ")])
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                s, q_ids, q, c_ids, c, width = (batch.column(n)[row].as_py() for n in range(6))
-                q_ids, c_ids = np.frombuffer(q_ids, np.int64), np.frombuffer(c_ids, np.int64)
-                c = np.frombuffer(c, np.int64).reshape(-1, width)
-                q = np.frombuffer(q, np.int64).reshape(-1, width)
+                s, *held, width = (batch.column(n)[row].as_py() for n in range(8))
+                q_ids, q_rows, q, c_ids, c_rows, c = (np.frombuffer(x, np.int64) for x in held)
+                c, q = c.reshape(-1, width), q.reshape(-1, width)
                 for at in range(0, len(q), 128):
                     scores = _product(q[at : at + 128], c)
                     found = []
                     for n, one in enumerate(scores):
-                        own = q_ids[at + n]
                         best = _best(one, c_ids, k + 1)
-                        best = best[c_ids[best] != own]
-                        if len(best) < k < len(c_ids):  # an id may repeat with other vectors
-                            other = np.flatnonzero(c_ids != own)
-                            best = other[_best(one[other], c_ids[other], k)]
-                        best = best[:k]
-                        found.append((np.full(len(best), own), c_ids[best], one[best]))
-                    ids, cands, got = (np.concatenate(x) for x in zip(*found))
-                    yield rows_of(schema, ids, np.full(len(ids), s), cands, got)
-
-    lists = (
-        blocks.select("s", "q_ids", "q", "c_ids", "c", "width")
-        .mapInArrow(multiply, kinds)
-    )
+                        best = best[c_rows[best] != q_rows[at + n]][:k]
+                        found.append((np.full(len(best), q_rows[at + n]), np.full(len(best), q_ids[at + n]), c_ids[best], one[best]))
+                    rows, ids, cands, got = (np.concatenate(x) for x in zip(*found))
+                    yield rows_of(schema, rows, ids, np.full(len(ids), s), cands, got)
+
+    names = ("s", "q_ids", "q_rows", "q", "c_ids", "c_rows", "c", "width")
+    lists = blocks.select(*names).mapInArrow(multiply, kinds)
     entry = F.struct(F.bitwise_not("score").alias("low"), F.col("id"), F.col("score"))
-    lists = lists.groupBy("query_id", "part").agg(F.slice(F.sort_array(F.collect_list(entry)), 1, k).alias("best"))
+    lists = lists.groupBy("query", "query_id", "part").agg(F.slice(F.sort_array(F.collect_list(entry)), 1, k).alias("best"))
     left = n_shards
     while True:
-        lists = lists.groupBy("query_id", (F.col("part") / FAN_IN).cast("long").alias("part")).agg(
+        lists = lists.groupBy("query", "query_id", (F.col("part") / FAN_IN).cast("long").alias("part")).agg(
             F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k).alias("best")
         )
         left = -(-left // FAN_IN)
@@ -171,5 +169,5 @@ def _numbered(tiles: DataFrame) -> DataFrame:
     before = counts.select("p", (F.sum("n").over(Window.orderBy("p")) - F.col("n")).alias("before"))
     placed = marks.withColumn("k", F.row_number().over(Window.partitionBy("p").orderBy("tile"))).join(before, "p")
     return tiles.join(placed.select("tile", (F.col("before") + F.col("k") - 1).alias("number")), "tile").select(
-        F.col("number").alias("tile"), "ids", "vectors", "width"
+        F.col("number").alias("tile"), "ids", "rows", "vectors", "width"
     )
