@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.catalog.standins import (
     EVENT_CONFIG,
     EVENT_SERIES,
+    EVENT_TYPES,
     INCLUSIVE_CONFIG,
     LINE_CONFIG,
     LINE_SERIES,
@@ -29,6 +30,7 @@ from tickloom.config import FeatureConfig
 from tickloom.functions.arrays import to_delta
 from tickloom.functions.sql import register_sql_functions
 from tickloom.functions.timekeys import WEEK_MODES, week_key
+from tickloom.operators.chunks import chunked_series, numbered_points, windows_over_chunks
 from tickloom.operators.lookups import with_titles
 from tickloom.operators.ordering import union_sets
 from tickloom.operators.series import (
@@ -178,6 +180,30 @@ def _gap_lists(nulls: str):
     return query
 
 
+SMALL_CHUNK = 2
+
+
+def chunk_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of length 5 from chunks of 2 points."""
+    chunks = chunked_series(numbered_points(line_bars(spark, sf_dir), LINE_CONFIG, 3 * 86_400), SMALL_CHUNK)
+    found = windows_over_chunks(chunks, LINE_CONFIG, SMALL_CHUNK)
+    return tidy(spread(found, "instrument", "column", "week_key", "start_index", "start_ts"))
+
+
+def tick_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as ticks, delivered twice, in chunks of 100: size, repeats and a checksum of each chunk."""
+    events = table(spark, sf_dir, "events")
+    ticks = events.unionByName(events).select(F.col("event_type").alias("instrument"), F.date_trunc("second", "ts").cast("timestamp_ntz").alias("ts"), F.col("value").alias("close"))
+    cfg = FeatureConfig(instruments=EVENT_TYPES, columns=("close",))
+    chunks = chunked_series(numbered_points(ticks, cfg), 100)
+    return tidy(
+        chunks.select(
+            "instrument", "week_key", "chunk", F.size("values").alias("n_points"), "n_repeats",
+            F.get("times", F.lit(0)).alias("first"), F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 3).alias("total"),
+        )
+    )
+
+
 def walk_through(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = walk_through_config("3-MEDIUM", length=3, n_tests=2)
     return _feature_values(build_features(order_bars(spark, sf_dir), cfg))
@@ -281,6 +307,8 @@ QUERIES = {
     "lists_without_gaps": _gap_lists("drop"),
     "lists_with_gaps": _gap_lists("keep"),
     "walk_through_features": walk_through,
+    "chunk_windows": chunk_windows,
+    "tick_series": tick_series,
     "union_sets": united,
     "shuffle_rows": shuffled,
     "top_n_series": oldest_series,
@@ -402,6 +430,21 @@ ORACLES = {
         SELECT instrument, week_key, n_close,
             row_number() OVER (PARTITION BY instrument, week_key ORDER BY ts) - 1 AS pos, volume AS value
         FROM gaps""",
+    "chunk_windows": f"""
+        {LINE_SERIES}
+        SELECT instrument, value_column AS "column", week_key, start_index, {_text('start_ts')}, pos, v AS value FROM win""",
+    "tick_series": f"""
+        WITH ticks AS (
+            SELECT event_type AS instrument, date_trunc('second', ts) AS ts, value FROM events
+            UNION ALL SELECT event_type, date_trunc('second', ts), value FROM events),
+        numbered AS (
+            SELECT *, isoyear(ts) * 100 + week(ts) AS week_key,
+                row_number() OVER (PARTITION BY instrument, isoyear(ts) * 100 + week(ts) ORDER BY ts, value) - 1 AS pos,
+                row_number() OVER (PARTITION BY instrument, ts ORDER BY value) > 1 AS again
+            FROM ticks)
+        SELECT instrument, week_key, pos // 100 AS chunk, count(*) AS n_points, count(*) FILTER (again) AS n_repeats,
+            {_text('min(ts)', '"first"')}, round(sum(value ORDER BY pos), 3) AS total
+        FROM numbered GROUP BY 1, 2, 3""",
     "walk_through_features": f"""
         WITH {ORDER_BARS.strip()},
         keyed AS (
