@@ -8,7 +8,7 @@ import pytest
 
 from tickloom.operators.detections import detection_boxes, with_labels
 from tickloom.operators.matching import match_detections, precision_recall
-from tickloom.plans.overlay import overlay_detections
+from tickloom.plans.overlay import overlay_detections, overlay_labelled
 
 DETECTION = "struct<class_id:int,score:double,x0:double,y0:double,x1:double,y1:double>"
 BOX = "left int, top int, width int, height int"
@@ -119,3 +119,20 @@ def test_precision_and_recall(spark):
     assert tuple(row) == (2, 4, 1, 0.25, 0.5)
     none = precision_recall(t.limit(0), d.limit(0), match_detections(t.limit(0), d.limit(0))).first()
     assert tuple(none) == (0, 0, 0, None, None)
+
+
+def test_labelled_overlay_shows_pixels_names_and_labels(spark):
+    manifest = spark.createDataFrame(
+        [("a", [(1.9, 2.0, 3.0, 4.0)]), ("b", None)], "image_id string, annotations array<struct<left:double,top:double,width:double,height:double>>"
+    )
+    found = spark.createDataFrame(
+        [("a", 200, 100, [(7, 0.2, 0.0, 0.0, 1.0, 1.0), (0, 0.9, 0.1, 0.2, 0.5, 0.6), (5, 0.5, 0.0, 0.0, 1.0, 1.0), (-1, 0.6, 0.0, 0.0, 0.0, 0.0)])],
+        f"image_id string, width int, height int, detections array<{DETECTION}>",
+    )
+    rows = {r["image_id"]: r for r in overlay_labelled(manifest, found, 0.33, ("bird",)).collect()}
+    assert [(d.det_index, d.class_name, d.label) for d in rows["a"]["found"]] == [(1, "bird", "bird 0.900"), (2, "5", "5 0.500"), (3, "-1", "-1 0.600")]
+    first = rows["a"]["found"][0]
+    assert (first.xmin, first.ymin, first.xmax, first.ymax, first.width, first.height) == (20, 20, 100, 60, 80, 40)
+    assert [tuple(b) for b in rows["a"]["boxes"]] == [(1, 2, 3, 4)]
+    assert rows["b"]["found"] is None and rows["b"]["boxes"] is None
+    assert [r["image_id"] for r in overlay_labelled(manifest, found, 0.33, limit=1).collect()] == ["a"]

@@ -10,7 +10,7 @@ from tickloom.catalog.standins import table, tidy
 from tickloom.operators.detections import detection_boxes, with_labels
 from tickloom.operators.manifests import BOX_FIELDS, explode_boxes
 from tickloom.operators.matching import average_precision, match_by_class, match_detections, precision_recall
-from tickloom.plans.overlay import overlay_detections
+from tickloom.plans.overlay import overlay_detections, overlay_labelled
 
 THRESHOLD = 0.33
 SIZE = 300
@@ -86,6 +86,13 @@ def _overlay(limit: int | None):
     return query
 
 
+def overlay_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every image with the number of its boxes and its detections as they are drawn."""
+    shown = overlay_labelled(box_manifest(spark, sf_dir), scored_images(spark, sf_dir), THRESHOLD, ("bird", "cat"))
+    rows = shown.select("image_id", F.size("boxes").alias("n_boxes"), F.explode_outer("found").alias("f"))
+    return tidy(rows.select("image_id", "n_boxes", "f.*"))
+
+
 def _truths_and_detections(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     truths = explode_boxes(
         box_manifest(spark, sf_dir), F.col("annotations"), "image_id", fields=(*BOX_FIELDS, "class_id")
@@ -136,6 +143,7 @@ QUERIES = {
     "detection_labels_by_list": labelled_by_list,
     "overlay_join": _overlay(None),
     "overlay_first_images": _overlay(10),
+    "overlay_labels": overlay_labels,
     "iou_match": _match(0.5),
     "iou_match_loose": _match(0.3),
     "precision_recall": quality,
@@ -258,6 +266,15 @@ ORACLES = {
         FROM named""",
     "overlay_join": _overlay_sql(""),
     "overlay_first_images": _overlay_sql("ORDER BY image_id LIMIT 10"),
+    "overlay_labels": f"""
+        WITH {BOXES.strip()}, {DETS.strip()},
+        per_image AS (SELECT image_id, count(*) AS n_boxes FROM boxes GROUP BY 1),
+        named AS (
+            SELECT *, CASE class_id WHEN 0 THEN 'bird' WHEN 1 THEN 'cat' ELSE CAST(class_id AS VARCHAR) END AS class_name FROM dets)
+        SELECT p.image_id, n_boxes, det_index, class_id, class_name, score,
+            CASE WHEN det_index IS NOT NULL THEN printf('%s %.3f', class_name, score) END AS label,
+            xmin, ymin, xmax, ymax, width, height
+        FROM per_image p LEFT JOIN named USING (image_id)""",
     "iou_match": f"{_matches(0.5)} SELECT * FROM matches",
     "iou_match_loose": f"{_matches(0.3)} SELECT * FROM matches",
     "precision_recall": f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.catalog.standins import ORDER_BARS, TS_TEXT, order_bars, table, tidy
+from tickloom.catalog.standins import EVENT_TYPES, ORDER_BARS, TS_TEXT, order_bars, table, tidy
 from tickloom.functions import fixed
 from tickloom.functions.timekeys import parse_bar_time
 from tickloom.operators.series import features_table, weekly_series
@@ -19,7 +19,6 @@ from tickloom.sources.files import (
     read_images,
     register_view,
     small_enough,
-    usable_files,
 )
 
 # Pages stand in for images; their largest ones are left out at this size.
@@ -178,17 +177,17 @@ def file_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many files are usable, and whether one was chosen."""
-    files = list_files(spark, _event_folder(spark, sf_dir))
-    chosen = first_usable_file(files).agg(F.count(F.lit(1)).alias("n_chosen"))
-    usable = usable_files(files).agg(
-        F.count(F.lit(1)).alias("n_usable"), F.min("length").alias("least")
-    )
-    return usable.select(
-        (F.col("n_usable") > 0).alias("found"),
-        (F.col("least") > fixed.MIN_HOLDOUT_FILE_BYTES).alias("all_filled"),
-        chosen.scalar().alias("n_chosen"),
-    )
+    """Rows of the file that is chosen: a file for each event type in the order of the types, after one
+    that holds next to nothing."""
+    folder = new_folder(spark, "events")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    types = F.array(*[F.lit(t) for t in EVENT_TYPES])
+    little = spark.sql("SELECT CAST(NULL AS LONG) AS event_id, 'none' AS event_type, CAST(NULL AS DOUBLE) AS value")
+    rows = little.unionByName(events).withColumn("_file", F.array_position(types, F.col("event_type")).cast("int"))
+    rows.repartitionById(len(EVENT_TYPES) + 1, F.col("_file")).drop("_file").write.json(folder)
+    chosen = first_usable_file(list_files(spark, folder)).select("path").first()
+    none = spark.createDataFrame([], events.schema)
+    return none if chosen is None else spark.read.schema(events.schema).json(chosen["path"])
 
 
 QUERIES = {
@@ -266,7 +265,6 @@ ORACLES = {
     "rejected_rows": """
         SELECT event_id, props AS "Time" FROM events WHERE event_type = 'error'""",
     "file_select": "SELECT event_id, event_type, value FROM events",
-    "file_choice": """
-        SELECT count(*) > 0 AS found, count(*) > 0 AS all_filled, CAST(1 AS BIGINT) AS n_chosen
-        FROM events""",
+    "file_choice": f"""
+        SELECT event_id, event_type, value FROM events WHERE event_type = '{EVENT_TYPES[0]}'""",
 }
