@@ -49,3 +49,23 @@ def test_text_unlike_its_language_is_rejected_and_short_text_is_not_judged(spark
 
 def test_empty_table(empty):
     assert divergence.judge(empty).count() == 0
+
+
+def test_every_language_is_judged_however_many_and_small(spark):
+    good = "the cat of house and the dog of street are in the garden of town with some more words here "
+    junk = " ".join(f"Zq{k}%%% #{k}|" for k in range(60))
+    rows = [(10 * k + j, good + " ".join(f"word{k}x{j}y{i}" for i in range(30)), f"l{k}") for k in range(90) for j in range(3)]
+    rows += [(10_000 + k, junk + f" {k}", f"l{k}") for k in range(0, 90, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.id: r for r in divergence.judge(df).collect()}
+    assert all(r.class_distance is not None for r in got.values())
+    assert {i for i, r in got.items() if not r.kept} == {10_000 + k for k in range(0, 90, 9)}
+    # Languages with words enough of their own, more than a list of fixed length would hold.
+    own = divergence.judge(df, divergence.DivergenceRules(least_reference_words=50)).where("word_distance IS NULL")
+    assert own.count() == 0
+
+
+def test_large_tables_by_language_are_joined_without_a_broadcast(spark, docs, monkeypatch):
+    want = sorted(map(str, divergence.judge(docs).collect()))
+    monkeypatch.setattr(divergence, "SMALL_ROWS", 0)
+    assert sorted(map(str, divergence.judge(docs).collect())) == want

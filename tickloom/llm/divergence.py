@@ -22,15 +22,14 @@ NONE = ""
 class DivergenceRules:
     """Bounds of the base rules and of the divergence from the reference of a language.
 
-    A document below the least sizes is not judged by that histogram. The `languages` with most
-    words are references, if they have `least_reference_words`; documents of others are not judged
-    by divergence.
+    A document below the least sizes is not judged by that histogram. A language with
+    `least_reference_words` is its own reference; documents of a smaller one are held against the
+    character classes of all documents together, and not judged by words.
     """
 
     least_words: int = 20
     repeat_percent: int = 30
     common_words: int = 20
-    languages: int = 64
     least_reference_words: int = 2_000
     least_chars: int = 200
     least_hist_words: int = 40
@@ -38,6 +37,10 @@ class DivergenceRules:
     most_word_distance: float = 0.42
 
 
+#: Rows up to which a table by language is broadcast; a larger one is joined by shuffle.
+SMALL_ROWS = 200_000
+
+
 def base_columns(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """(id, lang, text, words) with the base counts and the sizes of the character classes.
 
@@ -127,8 +130,9 @@ def judge(docs: DataFrame, rules: DivergenceRules = DivergenceRules(), id_col: s
     windows. Documents that pass make the references: for each language the shares of character
     classes and of its most frequent words (all other words are one share). A
     document is kept if it passes the base rules and its shares lie within the allowed distance of
-    its language's. Histograms of too short documents, and of languages without a reference, have a
-    null distance and do not count against a document. Documents with a null language are a
+    its language's. Languages with too few words for a reference of their own are held against the
+    classes of all documents. Histograms of too short documents, and words of languages without a
+    reference, have a null distance and do not count against a document. Documents with a null language are a
     language of their own. Repeated rows are judged alike.
     """
     rows = docs.select(
@@ -156,17 +160,19 @@ def judge(docs: DataFrame, rules: DivergenceRules = DivergenceRules(), id_col: s
     good = joined.where(~F.col("base_failed"))
     sums = [F.sum(F.get("classes", F.lit(k))).alias(f"c{k}") for k in range(len(CLASSES))]
     sums += [F.sum(F.get("hits", F.lit(k))).alias(f"w{k}") for k in range(rules.common_words + 1)]
-    shares = good.groupBy("lang").agg(F.sum("n_words").alias("ref_words"), *sums)
-    shares = shares.where(F.col("ref_words") >= rules.least_reference_words).orderBy(F.desc("ref_words"), "lang")
-    shares = shares.limit(rules.languages).select(
+    shares = cut(good.groupBy("lang").agg(F.sum("n_words").alias("ref_words"), *sums))
+    # Seven numbers: the character classes of all documents that pass.
+    pool = shares.agg(F.sum("ref_words").alias("n"), *[F.sum(f"c{k}").alias(f"c{k}") for k in range(len(CLASSES))]).first()
+    known = (pool["n"] or 0) >= rules.least_reference_words
+    pooled = F.array(*[F.lit(float(pool[f"c{k}"])) for k in range(len(CLASSES))]) if known else F.lit(None).cast("array<double>")
+    shares = shares.where(F.col("ref_words") >= rules.least_reference_words).select(
         F.col("lang").alias("ref_lang"),
         F.array(*[f"c{k}" for k in range(len(CLASSES))]).alias("ref_classes"),
         F.array(*[f"w{k}" for k in range(rules.common_words + 1)]).alias("ref_hits"),
     )
-    # At most rules.languages rows of two short arrays.
-    judged = joined.join(F.broadcast(shares), F.col("lang") == F.col("ref_lang"), "left")
+    judged = joined.join(_small(shares), F.col("lang") == F.col("ref_lang"), "left")
     judged = judged.withColumn(
-        "class_distance", F.when((F.col("chars") >= rules.least_chars) & F.col("ref_lang").isNotNull(), _distance(F.col("classes"), F.col("ref_classes")))
+        "class_distance", F.when(F.col("chars") >= rules.least_chars, _distance(F.col("classes"), F.coalesce("ref_classes", pooled)))
     ).withColumn(
         "word_distance", F.when((F.col("n_words") >= rules.least_hist_words) & F.col("ref_lang").isNotNull(), _distance(F.col("hits"), F.col("ref_hits")))
     )
@@ -179,18 +185,23 @@ def judge(docs: DataFrame, rules: DivergenceRules = DivergenceRules(), id_col: s
     )
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """The table with a hint to broadcast it, if its counted rows are few."""
+    return F.broadcast(table) if table.count() <= SMALL_ROWS else table
+
+
 def _found_words(rows: DataFrame, common: DataFrame, n: int) -> DataFrame:
     """(id, lang, text_key, hits): how often a text has each common word of its language, by place.
 
-    The texts' words are joined with the common words, whose number is bounded, and counted where
-    they are read, so one row for each document is shuffled. Rows that repeat id, language and text
+    The texts' words are joined with the common words and counted where they are read, so one row for
+    each document is shuffled. Rows that repeat id, language and text
     are counted together; a space, which is no word, stands once in each of them and tells how many
     they are.
     """
     row_mark = F.array(F.lit(" "))
     words = rows.select("id", "text_key", "lang", F.explode(F.concat(row_mark, words_of(F.col("text")))).alias("word"))
     marks = common.select("lang", F.lit(" ").alias("word"), F.lit(0).alias("place")).distinct()
-    met = words.join(F.broadcast(common.unionByName(marks)), ["lang", "word"])
+    met = words.join(_small(common.unionByName(marks)), ["lang", "word"])
     hits = [F.count_if(F.col("place") == k).alias(f"h{k}") for k in range(n + 1)]
     counted = met.groupBy("id", "lang", "text_key").agg(*hits)
     shares = [F.col(f"h{k + 1}") / F.col("h0") for k in range(n)]
@@ -198,12 +209,10 @@ def _found_words(rows: DataFrame, common: DataFrame, n: int) -> DataFrame:
 
 
 def _common_words(rows: DataFrame, rules: DivergenceRules) -> DataFrame:
-    """(lang, word, place): the most frequent words of each of the most frequent languages. Its size has
-    a fixed bound. Words are counted where they are read, before they are shuffled."""
+    """(lang, word, place): the most frequent words of each language. Words are counted where they are
+    read, before they are shuffled."""
     words = rows.select("lang", F.explode(words_of(F.col("text"))).alias("word"))
     counts = words.groupBy("lang", "word").agg(F.count("*").alias("n")).where("n > 1")
-    most = rows.groupBy("lang").agg(F.count("*").alias("docs")).orderBy(F.desc("docs"), "lang").limit(rules.languages)
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     listed = counts.withColumn("place", F.row_number().over(best)).where(F.col("place") <= rules.common_words)
-    listed = listed.join(F.broadcast(most.select("lang")), "lang")
     return listed.select("lang", "word", "place")
