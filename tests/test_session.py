@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 
-from tickloom.session import new_folder, shared_dir
+from tickloom.session import new_folder, shared_dir, working_folders
+from tickloom.sinks.stage import staged
 
 
 def session(named=None, checkpoint=None, master="local[2]"):
@@ -34,3 +36,23 @@ def test_local_session_gets_one():
 
 def test_folders_are_fresh(spark):
     assert new_folder(spark, "a") != new_folder(spark, "a")
+
+
+def test_working_folders_are_removed_at_the_end(spark):
+    def held():
+        return {p.name for p in Path(shared_dir(spark)).iterdir() if p.name.startswith("kept-")}
+
+    before = staged(spark.range(3), "kept")
+    known = held()
+    with working_folders(spark):
+        with working_folders(spark):
+            assert staged(spark.range(5), "kept").count() == 5
+            new_folder(spark, "kept")  # named, but never written
+        assert held() == known
+        staged(spark.range(5), "kept")
+        assert len(held()) == len(known) + 1
+    assert held() == known and before.count() == 3
+    with pytest.raises(ZeroDivisionError), working_folders(spark):
+        staged(spark.range(5), "kept")
+        1 / 0
+    assert held() == known

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -52,6 +54,30 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_open: list[list[str]] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder path below the shared one."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for made in _open:
+        made.append(folder)
+    return folder
+
+
+@contextmanager
+def working_folders(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders that were made inside, at the end.
+
+    For whoever writes the result inside: frames read from those folders are of no use afterwards.
+    """
+    made: list[str] = []
+    _open.append(made)
+    try:
+        yield
+    finally:
+        _open[:] = [other for other in _open if other is not made]
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for folder in made:
+            path = hadoop(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
