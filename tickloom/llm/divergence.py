@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,6 +26,14 @@ class DivergenceRules:
     A document below the least sizes is not judged by that histogram. A language with
     `least_reference_words` is its own reference; documents of a smaller one are held against the
     character classes of all documents together, and not judged by words.
+
+    The distance of words allowed follows from the distances found: documents are put in size classes
+    (doubling numbers of words), and in each class of a language the lower quarter of the distances is
+    carried on by `spread` times its distance from the lowest twentieth. Documents of another language
+    lie above and hardly move these two, up to half of a class and more. A class with under
+    `least_class_values` different distances takes the limit of that size in all languages, or
+    `most_word_distance`. No limit is below `least_limit`, nor below `noise` times what a sample of that
+    many words from the reference itself is expected to differ.
     """
 
     least_words: int = 20
@@ -35,8 +44,14 @@ class DivergenceRules:
     least_hist_words: int = 40
     most_class_distance: float = 0.2
     most_word_distance: float = 0.42
+    spread: float = 4.0
+    least_class_values: int = 50
+    least_limit: float = 0.2
+    noise: float = 1.15
 
 
+#: Steps of a distance in which quantiles are counted.
+STEPS = 1_000
 #: Rows up to which a table by language is broadcast; a larger one is joined by shuffle.
 SMALL_ROWS = 200_000
 
@@ -106,6 +121,12 @@ def _classes() -> list[Column]:
     ]
 
 
+def terms_of(text: Column) -> Column:
+    """Words for histograms: lower-case, without ASCII marks; empty for a text without any."""
+    marks = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), marks), lambda w: w != "")
+
+
 def _distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance (base 2, 0 to 1) of two arrays of counts."""
     p_sum = F.aggregate(p, F.lit(0.0), lambda a, x: a + x)
@@ -124,16 +145,17 @@ def _distance(p: Column, q: Column) -> Column:
 
 def judge(docs: DataFrame, rules: DivergenceRules = DivergenceRules(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
-    class_distance, word_distance) for every row.
+    class_distance, word_distance, word_limit) for every row.
 
     A document fails the base rules if it has few words or many of its words are in repeated
     windows. Documents that pass make the references: for each language the shares of character
-    classes and of its most frequent words (all other words are one share). A
-    document is kept if it passes the base rules and its shares lie within the allowed distance of
-    its language's. Languages with too few words for a reference of their own are held against the
-    classes of all documents. Histograms of too short documents, and words of languages without a
-    reference, have a null distance and do not count against a document. Documents with a null language are a
-    language of their own. Repeated rows are judged alike.
+    classes and of its most frequent words (lower-case, without marks; all other words are one share).
+    A document is kept if it passes the base rules, its classes lie within the allowed distance of its
+    language's and its words within the limit that DivergenceRules describes. Languages with too few
+    words for a reference of their own are held against the classes of all documents. Histograms of too
+    short documents, and words of languages without a reference, have a null distance and do not count
+    against a document. Documents with a null language are a language of their own. Repeated rows are
+    judged alike, and their distance counts once for a limit.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
@@ -150,11 +172,11 @@ def judge(docs: DataFrame, rules: DivergenceRules = DivergenceRules(), id_col: s
     )
     common = cut(_common_words(rows, rules))
     found = _found_words(rows.select("id", "lang", key, "text"), common, rules.common_words)
-    found = found.select(F.col("id").alias("f_id"), F.col("lang").alias("f_lang"), F.col("text_key").alias("f_key"), "hits")
+    found = found.select(F.col("id").alias("f_id"), F.col("lang").alias("f_lang"), F.col("text_key").alias("f_key"), "hits", "n_terms")
     same = F.col("id").eqNullSafe(F.col("f_id")) & (F.col("lang") == F.col("f_lang")) & (F.col("text_key") == F.col("f_key"))
     joined = base.join(found, same, "left").drop("f_id", "f_lang", "f_key", "text_key")
     joined = joined.withColumn("hits", F.coalesce("hits", F.array_repeat(F.lit(0.0), rules.common_words)))
-    other = F.col("n_words").cast("double") - F.aggregate("hits", F.lit(0.0), lambda a, x: a + x)
+    other = F.coalesce("n_terms", F.lit(0)).cast("double") - F.aggregate("hits", F.lit(0.0), lambda a, x: a + x)
     joined = cut(joined.withColumn("hits", F.concat("hits", F.array(other))))
 
     good = joined.where(~F.col("base_failed"))
@@ -174,44 +196,72 @@ def judge(docs: DataFrame, rules: DivergenceRules = DivergenceRules(), id_col: s
     judged = judged.withColumn(
         "class_distance", F.when(F.col("chars") >= rules.least_chars, _distance(F.col("classes"), F.coalesce("ref_classes", pooled)))
     ).withColumn(
-        "word_distance", F.when((F.col("n_words") >= rules.least_hist_words) & F.col("ref_lang").isNotNull(), _distance(F.col("hits"), F.col("ref_hits")))
-    )
+        "word_distance", F.when((F.col("n_terms") >= rules.least_hist_words) & F.col("ref_lang").isNotNull(), _distance(F.col("hits"), F.col("ref_hits")))
+    ).withColumn("size_class", F.floor(F.log2(F.col("n_terms"))))
+    judged = cut(judged.select(
+        "id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "class_distance", "word_distance", "n_terms", "size_class",
+    ))
+    by_lang, by_size = _limits(judged, rules)
+    judged = judged.join(_small(by_lang), ["lang", "size_class"], "left").join(F.broadcast(by_size), "size_class", "left")
+    # The expected divergence of a sample of n words from k shares is about (k - 1) / (8 n ln 2) bits.
+    expected = F.sqrt(F.lit(rules.common_words / (8 * math.log(2))) / F.col("n_terms"))
+    limit = F.greatest(F.coalesce("lang_limit", "size_limit", F.lit(rules.most_word_distance)), F.lit(rules.least_limit), rules.noise * expected)
     far = (F.coalesce("class_distance", F.lit(0.0)) > rules.most_class_distance) | (
-        F.coalesce("word_distance", F.lit(0.0)) > rules.most_word_distance
+        F.col("word_distance").isNotNull() & (F.col("word_distance") > limit)
     )
     return judged.select(
         "id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~far).alias("kept"), "class_distance", "word_distance",
+        F.when(F.col("word_distance").isNotNull(), limit).alias("word_limit"),
     )
 
 
+def _limits(judged: DataFrame, rules: DivergenceRules) -> tuple[DataFrame, DataFrame]:
+    """(lang, size_class, lang_limit) and (size_class, size_limit): at most 64 rows for each language,
+    and 64. Different distances are counted in steps, so running sums go over STEPS rows of a class."""
+    step = F.ceil(F.col("word_distance") * STEPS)
+    values = judged.where(~F.col("base_failed") & F.col("word_distance").isNotNull()).select("lang", "size_class", "word_distance").distinct()
+    counts = cut(values.groupBy("lang", "size_class", step.alias("step")).agg(F.count("*").alias("n")))
+
+    def limit(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+        rows = rows.groupBy(*keys, "step").agg(F.sum("n").alias("n"))
+        rows = rows.withColumn("up_to", F.sum("n").over(Window.partitionBy(*keys).orderBy("step")))
+        rows = rows.withColumn("all", F.sum("n").over(Window.partitionBy(*keys))).where(F.col("all") >= rules.least_class_values)
+        low, mid = [F.min(F.when(F.col("up_to") >= share * F.col("all"), F.col("step"))) / STEPS for share in (0.05, 0.25)]
+        return rows.groupBy(*keys).agg((mid + rules.spread * (mid - low)).alias(name))
+
+    return limit(counts, ["lang", "size_class"], "lang_limit"), limit(counts, ["size_class"], "size_limit")
+
+
 def _small(table: DataFrame) -> DataFrame:
     """The table with a hint to broadcast it, if its counted rows are few."""
     return F.broadcast(table) if table.count() <= SMALL_ROWS else table
 
 
 def _found_words(rows: DataFrame, common: DataFrame, n: int) -> DataFrame:
-    """(id, lang, text_key, hits): how often a text has each common word of its language, by place.
+    """(id, lang, text_key, hits, n_terms): how often a text has each common word of its language, by
+    place, and the number of its words.
 
     The texts' words are joined with the common words and counted where they are read, so one row for
     each document is shuffled. Rows that repeat id, language and text
     are counted together; a space, which is no word, stands once in each of them and tells how many
     they are.
     """
-    row_mark = F.array(F.lit(" "))
-    words = rows.select("id", "text_key", "lang", F.explode(F.concat(row_mark, words_of(F.col("text")))).alias("word"))
+    words = rows.select("id", "text_key", "lang", terms_of(F.col("text")).alias("terms"))
+    words = words.select("id", "text_key", "lang", F.size("terms").alias("n_terms"), F.explode(F.concat(F.array(F.lit(" ")), "terms")).alias("word"))
     marks = common.select("lang", F.lit(" ").alias("word"), F.lit(0).alias("place")).distinct()
     met = words.join(_small(common.unionByName(marks)), ["lang", "word"])
     hits = [F.count_if(F.col("place") == k).alias(f"h{k}") for k in range(n + 1)]
-    counted = met.groupBy("id", "lang", "text_key").agg(*hits)
+    counted = met.groupBy("id", "lang", "text_key").agg(F.max("n_terms").alias("n_terms"), *hits)
     shares = [F.col(f"h{k + 1}") / F.col("h0") for k in range(n)]
-    return counted.select("id", "lang", "text_key", F.array(*shares).alias("hits"))
+    return counted.select("id", "lang", "text_key", "n_terms", F.array(*shares).alias("hits"))
 
 
 def _common_words(rows: DataFrame, rules: DivergenceRules) -> DataFrame:
     """(lang, word, place): the most frequent words of each language. Words are counted where they are
     read, before they are shuffled."""
-    words = rows.select("lang", F.explode(words_of(F.col("text"))).alias("word"))
+    words = rows.select("lang", F.explode(terms_of(F.col("text"))).alias("word"))
     counts = words.groupBy("lang", "word").agg(F.count("*").alias("n")).where("n > 1")
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     listed = counts.withColumn("place", F.row_number().over(best)).where(F.col("place") <= rules.common_words)
