@@ -163,7 +163,7 @@ def test_mix_meets_its_targets(docs, corpus):
 def test_buckets_change_nothing(docs, monkeypatch):
     once = Counter(map(tuple, mixing.mix(docs).collect()))
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 5)
-    monkeypatch.setattr(mixing, "FINISH_STEPS", 16)
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 16)
     assert Counter(map(tuple, mixing.mix(docs).collect())) == once
 
 
@@ -192,3 +192,24 @@ def test_nothing_to_mix(empty, spark):
     assert mixing.mix(empty).count() == 0 and mixing.mixture(empty).count() == 0
     blank = spark.createDataFrame([(1, "", "s"), (2, None, "s")], "doc_id long, text string, source string")
     assert [r.taken for r in mixing.mix(blank).collect()] == [0, 0]
+
+
+def test_equal_finish_times_of_many_sources_stand_or_fall_together(spark, monkeypatch):
+    """Sources of one document each: those of one weight all end at the same times."""
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 7)
+    rows = [(k, "w " * 10, f"s{k:03d}") for k in range(120)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    by_weight = defaultdict(set)
+    for r in got:
+        by_weight[(3, 1, 2)[r.id % 3]].add((r.taken, round(r.target, 6)))
+    want = targets({f"s{k:03d}": 10 for k in range(120)})
+    ends = sorted((10 * again / want[s], 10) for s in want for again in (1, 2))
+    budget, total, last = 1.5 * 1200, 0, -1.0
+    for end in sorted({e for e, _ in ends}):
+        total += sum(n for e, n in ends if e == end)
+        if total > budget:
+            break
+        last = end
+    assert {w: {t for t, _ in found} for w, found in by_weight.items()} == {
+        w: {10 * sum(10 * again / want[f"s{k:03d}"] <= last for again in (1, 2))} for k, w in enumerate((3, 1, 2))
+    }

@@ -12,8 +12,8 @@ from tickloom.llm.words import word_count
 
 #: Documents of one source, about, whose running sum is taken in one window.
 BUCKET_ROWS = 20_000
-#: Steps of the finish times in which sizes are summed up before the last step is looked at by row.
-FINISH_STEPS = 8_192
+#: Finish times of one range of the global order, about.
+RANGE_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -112,30 +112,28 @@ def mix(docs: DataFrame, config: MixConfig = MixConfig(), id_col: str = "doc_id"
     ]
     names = ["id", "no_source", "source", "mark", "size", "source_size", "target"]
     placed = cut(placed.select(*names, F.array(*[F.when(F.col("target") > 0, f) for f in finish]).alias("finish")))
-    last = _last_finish(placed, budget)
+    last = _last_finish(placed, budget, (all_docs or 0) * config.repeats)
     times = F.size(F.filter("finish", lambda f: f <= F.lit(last)))
     return placed.select(*names, (F.col("size") * times).alias("taken"), times.alias("times"))
 
 
-def _last_finish(placed: DataFrame, budget: float) -> float:
-    """The last finish time that stays within the budget, from sums over steps of the finish times
-    and then over the one step in which the budget ends."""
-    step = F.least(F.floor(F.col("f") * FINISH_STEPS), F.lit(2 * FINISH_STEPS)).cast("long")
-    copies = placed.select("size", F.explode("finish").alias("f")).where("f is not null").withColumn("step", step)
-    steps = copies.groupBy("step").agg(F.sum("size").alias("n"))
-    # At most 2 * FINISH_STEPS + 1 rows, whatever the input.
-    running = steps.withColumn("up_to", F.sum("n").over(Window.orderBy("step")))
-    row = running.where(F.col("up_to") > F.lit(budget)).orderBy("step").limit(1).first()
-    if row is None:
+def _last_finish(placed: DataFrame, budget: float, copies: int) -> float:
+    """Where the mix is cut: the last finish time that stays within the budget.
+
+    Copies are summed up by finish time and sorted by range, in ranges whose number follows the number
+    of copies. Each running sum is that of its range and the sums of the ranges before, of which alone
+    an order is made in one place.
+    """
+    ends = placed.select("size", F.explode("finish").alias("f")).where("f is not null").groupBy("f").agg(F.sum("size").alias("n"))
+    ranges = cut(ends.repartitionByRange(copies // RANGE_ROWS + 1, "f").withColumn("p", F.spark_partition_id()))
+    sums = ranges.groupBy("p").agg(F.sum("n").alias("n"))
+    before = sums.select("p", (F.sum("n").over(Window.orderBy("p")) - F.col("n")).alias("before"))
+    inside = F.sum("n").over(Window.partitionBy("p").orderBy("f"))
+    ordered = ranges.withColumn("inside", inside).join(before, "p").withColumn("up_to", F.col("before") + F.col("inside"))
+    total, last = ordered.agg(F.max("up_to"), F.max(F.when(F.col("up_to") <= F.lit(budget), F.col("f")))).first()
+    if total is None or total <= budget:
         return float("inf")
-    before = row["up_to"] - row["n"]
-    ends = copies.where(F.col("step") == row["step"]).groupBy("f").agg(F.sum("size").alias("n"))
-    within = ends.withColumn("up_to", F.lit(before) + F.sum("n").over(Window.orderBy("f")))
-    last = within.where(F.col("up_to") <= F.lit(budget)).agg(F.max("f")).first()[0]
-    if last is not None:
-        return float(last)
-    below = copies.where(F.col("step") < row["step"]).agg(F.max("f")).first()[0]
-    return float(below) if below is not None else -1.0
+    return float(last) if last is not None else -1.0
 
 
 def mixture(docs: DataFrame, config: MixConfig = MixConfig(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
