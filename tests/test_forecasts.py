@@ -61,6 +61,13 @@ def test_payloads_hold_every_request_once(holdout, digits):
             assert instance == {"cat": [0, i % 2], "start": "2018-01-01 00:00:00", "target": [float(i), i + 1.0]}
 
 
+def test_payloads_in_one_order_fill_all_batches_but_the_last(holdout):
+    made = request_payloads(context_split(holdout, 2), batch_size=5, digits=None).orderBy("batch").collect()
+    order = sorted((f"r{i:02d}" for i in range(12)), key=lambda r: md5(f"42:{r}".encode()).hexdigest())
+    assert [r["request_ids"] for r in made] == [order[:5], order[5:10], order[10:]]
+    assert [len(json.loads(r["body"])["instances"]) for r in made] == [5, 5, 2]
+
+
 def test_payloads_need_one_shuffle(holdout):
     plan = request_payloads(context_split(holdout, 2))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Exchange SinglePartition" not in plan

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.functions import fixed
 from tickloom.functions.arrays import prefix
 from tickloom.functions.hashing import row_hash
+from tickloom.operators.ordering import hash_rank
 
 RESPONSE_SCHEMA = "predictions array<struct<quantiles:map<string,array<double>>>>"
 
@@ -34,18 +35,22 @@ def request_payloads(
     num_samples: int = fixed.NUM_SAMPLES,
     batch_size: int = fixed.MAX_REQUESTS,
     seed: int = 42,
-    digits: int = 2,
+    digits: int | None = 2,
 ) -> DataFrame:
     """JSN1: one JSON body per batch of requests: bucket, batch, request_ids, body.
 
     Every request is in exactly one batch of at most `batch_size`, so a body stays small however
     many requests there are. Requests are dealt by the first `digits` hex digits of a seeded hash of
     their key into buckets, numbered there in the order of the hash and cut into batches: one
-    shuffle. Only the last batch of a bucket may be shorter.
+    shuffle. Only the last batch of a bucket may be shorter. Without `digits` all requests are
+    numbered in one order, so that only the very last batch may be shorter; the bucket is empty.
     """
-    hashed = requests.withColumn("_h", row_hash(seed, F.col(key))).withColumn("bucket", F.substring("_h", 1, digits))
-    number = F.row_number().over(Window.partitionBy("bucket").orderBy("_h", key))
-    ranked = hashed.withColumn("rank", number)
+    if digits is None:
+        ranked = hash_rank(requests, [key], seed).withColumn("bucket", F.lit(""))
+    else:
+        hashed = requests.withColumn("_h", row_hash(seed, F.col(key))).withColumn("bucket", F.substring("_h", 1, digits))
+        number = F.row_number().over(Window.partitionBy("bucket").orderBy("_h", key))
+        ranked = hashed.withColumn("rank", number)
     instance = F.struct("cat", "start", F.col("context").alias("target"))
     batches = (
         ranked.withColumn("batch", F.floor((F.col("rank") - 1) / batch_size))

@@ -26,6 +26,21 @@ def union_sets(*sets: DataFrame | None) -> DataFrame:
     return reduce(DataFrame.unionByName, present)
 
 
+def hash_rank(df: DataFrame, keys: Sequence[str], seed: int, rank: str = "rank") -> DataFrame:
+    """Position of each row, from 1, in the seeded random order of the whole table.
+
+    Rows are numbered inside hash buckets and moved up by the size of the buckets before, so no task
+    sees more than one bucket. Rows of one key are numbered in any order.
+    """
+    order = row_hash(seed, *[F.col(k) for k in keys])
+    tagged = df.withColumn("_h", order).withColumn("_b", F.substring("_h", 1, _DIGITS))
+    sizes = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_b", (F.sum("_n").over(_up_to_here("_b")) - F.col("_n")).alias("_before"))
+    inside = Window.partitionBy("_b").orderBy("_h", *keys)
+    numbered = tagged.withColumn("_r", F.row_number().over(inside)).join(F.broadcast(before), "_b")
+    return numbered.withColumn(rank, F.col("_before") + F.col("_r")).drop("_b", "_h", "_r", "_before")
+
+
 def exact_split(
     df: DataFrame,
     keys: Sequence[str],
