@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import pytest
 
+from tickloom.operators import matching
 from tickloom.operators.matching import average_precision, match_by_class
 
 BOX = "left int, top int, width int, height int"
@@ -62,6 +63,30 @@ def test_crowded_images_agree_with_serving_by_score(spark, threshold, images, n)
     assert {tuple(r) for r in got.collect()} == served(truths, found, threshold)
 
 
+@pytest.mark.parametrize("few", [0, 3, 10**6])
+def test_few_and_crowded_boxes_give_the_same_pairs(spark, few):
+    truths, found = crowd(6, 3, 8)
+    truths += [(7, k, 0, 3, 3, 9 + k, 9) for k in range(2)]  # an image with few truths, two without detections or truths
+    found += [(7, k, 0, 0.5, 3, 3, 9, 9 + k) for k in range(40)] + [(8, 0, 0, 0.5, 1, 1, 4, 4)]
+    t, d = (df.where("width > 0") for df in frames(spark, truths + [(9, 0, 0, 1, 1, 4, 4)], found))
+    columns = ["image_id", "class_id", "t.truth_index", "d.det_index"]
+    got = matching._reached(t, d, 0.2, ["image_id", "class_id"], columns, few).collect()
+
+    want = [
+        (x[0], x[2], x[1], y[1]) for x in truths for y in found
+        if x[0] == y[0] and x[2] == y[2] is not None and x[5] > 0 and y[6] > 0 and share(x[3:], y[4:]) >= 0.2
+    ]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+def test_images_of_few_boxes_are_not_spread_over_cells(spark, monkeypatch):
+    """Each truth box was entered into some 50 cells, whatever its image held."""
+    monkeypatch.setattr(matching, "_around_cells", lambda *_: pytest.fail("boxes of a small image went into cells"))
+    truths, found = crowd(4, 5, 6)
+    got = match_by_class(*frames(spark, truths, found), 0.2)
+    assert {tuple(r) for r in got.collect()} == served(truths, found, 0.2)
+
+
 def test_a_detection_that_loses_its_box_takes_the_next(spark):
     truths = [(1, 0, 0, 0, 0, 10, 10), (1, 1, 0, 2, 0, 10, 10), (1, 2, 1, 0, 0, 10, 10)]
     found = [(1, 0, 0, 0.9, 0, 0, 10, 10), (1, 1, 0, 0.8, 0, 0, 10, 10), (1, 2, 3, 1.0, 0, 0, 10, 10)]

@@ -4,11 +4,15 @@
 class out one to one. In the first each detection goes to the truth box it overlaps most, if the overlap reaches the threshold; of the
 detections that go to one truth box, the one with the highest score is right and the others are not.
 
-Two boxes of an image are compared only where they can reach the threshold. Reaching it needs
+Two boxes of a crowded image are compared only where they can reach the threshold. Reaching it needs
 widths within a factor of 1/threshold, and centres no farther apart than (1 - threshold) times the
 larger width; the same holds for heights. So boxes are put into cells by size class and centre, a
 truth box is entered into the few cells around it, and the join runs on image and cell. That finds
 exactly the pairs a comparison of all boxes of an image would find.
+
+Cells cost a truth box some ten to a hundred rows, so only crowded images go that way. Where an image
+has few truths or few detections, all its boxes are compared: the pairs are at most FEW times its boxes
+then, and no truth box is entered anywhere else.
 """
 
 from __future__ import annotations
@@ -24,6 +28,8 @@ from tickloom.operators.running import in_ranges, later_max, running_sums
 from tickloom.sinks.stage import staged
 
 _BOX = ("left", "top", "width", "height")
+#: Truths or detections of an image, whichever are fewer, up to which all its boxes are compared.
+FEW = 32
 
 
 def match_detections(
@@ -51,9 +57,8 @@ def match_detections(
             (-F.col("_best._d")).alias("det_index"),
         )
     )
-    reached = _reached(one_truth, one_det, threshold, ["image_id"]).select(
-        "image_id", "d.det_index", "d.score", "t.truth_index", "iou"
-    )
+    columns = ["image_id", "d.det_index", "d.score", "t.truth_index", "iou"]
+    reached = _reached(one_truth, one_det, threshold, ["image_id"], columns)
     chosen = (
         reached.groupBy("image_id", "det_index")
         .agg(F.max(F.struct("iou", (-F.col("truth_index")).alias("_t"), "score")).alias("_c"))
@@ -101,10 +106,8 @@ def match_by_class(
         F.count(F.lit(1)).alias("places"), F.min("truth_index").alias("box")
     )
     usable = _solid(detections).where(F.col("score").isNotNull())
-    pairs = _reached(places, usable, threshold, _CLASS).select(
-        *_CLASS, "t.box", "t.places", "d.det_index", "d.score", "iou"
-    )
-    left = staged(pairs, "pairs")
+    columns = [*_CLASS, "t.box", "t.places", "d.det_index", "d.score", "iou"]
+    left = staged(_reached(places, usable, threshold, _CLASS, columns), "pairs")
     most = left.agg(F.max("places")).first()[0] or 0
     by_score = Window.partitionBy(*_CLASS, "box").orderBy(F.desc("score"), "det_index")
     rank = F.struct("score", -F.col("det_index"))
@@ -207,13 +210,25 @@ def _check(threshold: float) -> None:
         raise ValueError(f"threshold {threshold} is not above 0 and up to 1")
 
 
-def _reached(truths: DataFrame, detections: DataFrame, threshold: float, keys: Sequence[str]) -> DataFrame:
-    """Pairs `d`, `t` with equal keys whose overlap `iou` reaches the threshold."""
-    pairs = _in_cells(detections).alias("d").join(
-        _around_cells(truths, threshold).alias("t"), [*keys, "_lx", "_cx", "_ly", "_cy"]
-    )
-    overlap = iou({f: F.col(f"d.{f}") for f in _BOX}, {f: F.col(f"t.{f}") for f in _BOX})
-    return pairs.withColumn("iou", overlap).where(F.col("iou") >= threshold)
+def _reached(
+    truths: DataFrame, detections: DataFrame, threshold: float, keys: Sequence[str], columns: Sequence[str], few: int = FEW
+) -> DataFrame:
+    """`columns` of pairs `d`, `t` with equal keys whose overlap `iou` reaches the threshold."""
+
+    def overlapping(d: DataFrame, t: DataFrame, on: list[str]) -> DataFrame:
+        overlap = iou({f: F.col(f"d.{f}") for f in _BOX}, {f: F.col(f"t.{f}") for f in _BOX})
+        pairs = d.alias("d").join(t.alias("t"), on).withColumn("iou", overlap)
+        return pairs.where(F.col("iou") >= threshold).select(*columns)
+
+    by = list(keys)
+    n_truths, n_dets = (df.groupBy(*by).agg(F.count(F.lit(1)).alias(n)) for df, n in ((truths, "_t"), (detections, "_d")))
+    crowded = staged(n_truths.join(n_dets, by).where(F.least("_t", "_d") > few).select(*by), "crowded")
+    if crowded.isEmpty():
+        return overlapping(detections, truths, by)
+    calm = overlapping(detections.join(crowded, by, "left_anti"), truths, by)
+    d, t = (df.join(crowded, by, "left_semi") for df in (detections, truths))
+    cells = [*by, "_lx", "_cx", "_ly", "_cy"]
+    return calm.unionByName(overlapping(_in_cells(d), _around_cells(t, threshold), cells))
 
 
 def _solid(boxes: DataFrame) -> DataFrame:
