@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from collections import Counter
 
 from conftest_words import split_words
@@ -122,3 +123,18 @@ def test_words_are_lower_case_and_without_marks(spark):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     got = [r[0] for r in df.select(divergence.terms_of(df.text)).collect()]
     assert got == [["the", "cat", "the", "cat", "don", "t"], [], [], ["é", "12a"]]
+
+
+def test_character_classes_are_counted_on_what_is_left_of_a_text(spark):
+    """The whole text was searched six times."""
+    texts = ["aB3 \t\n#*$%&|<>", "\x00\x01\x7f!\"'()+,./:;=?@[\\]^_`{}~-", "é中\U0001f600ß aa\x0b\x0c\r\x85\xa0Z", "", None, "zz 99 ZZ"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'en' AS lang")
+    out = divergence.base_columns(docs, "doc_id", "text", "lang")
+    signs = {"symbol": "#*$%&|<>", "mark": "!\"'()+,./:;=?@[\\]^_`{}~-", "space": " \t\n\x0b\x0c\r", "digit": "0123456789"}
+    for r in out.collect():
+        text = texts[r.id] or ""
+        assert {n: r[n] for n in signs} == {n: sum(c in s for c in text) for n, s in signs.items()}
+        assert r.upper == sum("A" <= c <= "Z" for c in text)
+        assert (r.chars, r.ascii) == (len(text), sum(c < "\x80" for c in text))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"regexp_replace\((?:coalesce\()?text#", plan)) == 1

@@ -90,18 +90,26 @@ def base_columns(docs: DataFrame, id_col: str, text_col: str, lang_col: str) ->
     lines = F.filter(F.split("text", "\n"), lambda line: F.length(F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))) > 0)
     out = out.withColumn("lines", lines)
 
-    def left(chars: str) -> Column:
-        return F.length(F.regexp_replace("text", chars, "")).cast("long")
+    # What is left of the text without lower-case letters, then also without space, is short: only the
+    # first two patterns go over much.
+    out = out.withColumn("rest", F.regexp_replace("text", "[a-z]+", ""))
+    out = out.withColumn("few", F.regexp_replace("rest", r"[\x20\x09-\x0D]+", ""))
 
-    chars = F.length("text").cast("long")
+    def size(text: str | Column) -> Column:
+        return F.length(text).cast("long")
+
+    def among(chars: str) -> Column:
+        return size("few") - size(F.regexp_replace("few", chars, ""))
+
+    chars, letters = size("text"), size("text") - size("rest")
     counts = {
-        "upper": chars - left("[A-Z]+"),
-        "digit": chars - left("[0-9]+"),
-        "space": chars - left(r"[\x20\x09-\x0D]+"),
-        "symbol": chars - left("[#*$%&|<>]+"),
-        "mark": chars - left(r"[!\"'()+,./:;=?@\[\\\]^_`{}~-]+"),
-        "ascii": chars - left(r"[\x00-\x7F]+"),
+        "upper": among("[A-Z]+"),
+        "digit": among("[0-9]+"),
+        "space": size("rest") - size("few"),
+        "symbol": among("[#*$%&|<>]+"),
+        "mark": among(r"[!\"'()+,./:;=?@\[\\\]^_`{}~-]+"),
     }
+    counts["ascii"] = letters + counts["space"] + among(r"[\x00-\x7F]+")
     out = out.select(
         "id", "lang", "text", "words", "n_words",
         *[c.alias(n) for n, c in counts.items()],
